@@ -67,8 +67,8 @@ def is_weekend(date: Column | str) -> Column:
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Whole seconds from start to end, the fraction cut off."""
-    micros = F.unix_micros(_col(end)) - F.unix_micros(_col(start))
+    """Whole seconds from start to end, the fraction cut off. Lake tables hold UTC wall clock, so both kinds are read."""
+    micros = F.unix_micros(_col(end).cast("timestamp")) - F.unix_micros(_col(start).cast("timestamp"))
     return F.call_function("div", micros, F.lit(1_000_000))
 
 

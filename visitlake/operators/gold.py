@@ -41,26 +41,34 @@ def build_visits(clicks: DataFrame) -> DataFrame:
     }).select(S.VISIT_COLUMNS)
 
 
-def category_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks per product and category, with the attributes of the first click in visit order.
+def category_counts(clicks: DataFrame, *also_by: str) -> DataFrame:
+    """Clicks per product and category, with the attributes of the first click in visit order and where it was seen.
 
     At most a handful of rows per product are left after the map side, however popular the product is.
     """
-    first = F.min_by(F.struct(*S.PRODUCT_ATTRIBUTES), F.struct("visit_id", "click_number_in_visit"))
-    return clicks.groupBy("product_code", "category").agg(
-        F.count("*").alias("clicks"), first.alias("attributes"),
-        F.min(F.struct("visit_id", "click_number_in_visit")).alias("seen"))
+    position = F.struct("visit_id", "click_number_in_visit")
+    return clicks.groupBy(*also_by, "product_code", "category").agg(
+        F.count("*").alias("clicks"),
+        F.min_by(F.struct(*S.PRODUCT_ATTRIBUTES), position).alias("attributes"),
+        F.min(position).alias("seen"))
 
 
-def build_products(clicks: DataFrame) -> DataFrame:
-    """One row per product: attributes of its first click, and its most frequent category (ties: the smallest)."""
+def products_from_counts(counts: DataFrame) -> DataFrame:
+    """Products from category counts, which may come in several parts per product and category."""
+    merged = counts.groupBy("product_code", "category").agg(
+        F.sum("clicks").alias("clicks"), F.min_by("attributes", "seen").alias("attributes"), F.min("seen").alias("seen"))
     most_frequent = F.struct((-F.col("clicks")).alias("order"), "category")
-    return (category_counts(clicks).groupBy("product_code")
+    return (merged.groupBy("product_code")
             .agg(F.min(most_frequent).alias("top"), F.min_by("attributes", "seen").alias("attributes"))
             .select("product_code", "top.category", "attributes.*")
             .select(S.PRODUCT_COLUMNS))
 
 
+def build_products(clicks: DataFrame) -> DataFrame:
+    """One row per product: attributes of its first click, and its most frequent category (ties: the smallest)."""
+    return products_from_counts(category_counts(clicks))
+
+
 def build_calendar_days(clicks: DataFrame) -> DataFrame:
     """One row per date with clicks: day name, ISO week and month name."""
     days = clicks.select(F.col("click_date").alias("calendar_date")).distinct()

@@ -70,7 +70,7 @@ def dataset_profile(clicks: DataFrame) -> DataFrame:
     lengths = (clicks.filter("visit_id IS NOT NULL").groupBy("visit_id").agg(F.count("*").alias("clicks"))
                .groupBy("clicks").agg(F.count("*").alias("visits")))
     visits = metric(lengths, visits=F.sum("visits"), longest_visit=F.max("clicks"),
-                    median_visit=F.percentile("clicks", 0.5, "visits"),
+                    median_visit=F.percentile("clicks", 0.5, F.col("visits")),
                     one_click_visits=F.sum(F.when(F.col("clicks") == 1, F.col("visits"))))
     days = metric(clicks.select("year", "month", "day").distinct(), days=F.count("*"))
     return reduce(DataFrame.unionByName, [sizes, repeats, visits, days, distinct])

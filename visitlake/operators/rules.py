@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from visitlake import schemas as S
 from visitlake.functions import real_date, shop_local_time
 from visitlake.operators.resends import has_identity
-from visitlake.operators.sequence import with_previous_click
+from visitlake.operators.sequence import PIECE_BITS, with_previous_click
 
 def fails(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(True))
@@ -52,7 +52,7 @@ def with_row_rules(clicks: DataFrame) -> DataFrame:
         "_row_reason": reason, "_off_date": off_date, "_row_fails": reason.isNotNull() | off_date})
 
 
-def with_neighbour_rules(identified: DataFrame) -> DataFrame:
+def with_neighbour_rules(identified: DataFrame, bits: int = PIECE_BITS) -> DataFrame:
     """Keys of identified rows with ``row_fails``, ``breaks_sequence`` and ``not_later``.
 
     Click numbers of a visit are 1..n exactly when each click either is number 1 or directly follows its predecessor,
@@ -64,18 +64,18 @@ def with_neighbour_rules(identified: DataFrame) -> DataFrame:
     first = previous.isNull() & (number == 1)
     follows = F.coalesce(F.try_add(previous, F.lit(1)) == number, F.lit(False))
     later = F.coalesce(F.col("click_time_synthetic") > F.col("previous_time"), F.lit(True))
-    return with_previous_click(keys).select(
+    return with_previous_click(keys, bits).select(
         "visit_id", "click_number_in_visit", "row_fails",
         (~first & ~follows).alias("breaks_sequence"), (~later).alias("not_later"))
 
 
-def find_problems(identified: DataFrame, nameless: DataFrame) -> DataFrame:
+def find_problems(identified: DataFrame, nameless: DataFrame, bits: int = PIECE_BITS) -> DataFrame:
     """Only the failing clicks: ``visit_id, click_number_in_visit, row_fails, breaks_sequence, not_later``.
 
     ``nameless`` rows lack a part of their identity. One whose visit is known but whose number is missing breaks the
     sequence of that visit.
     """
-    neighbours = with_neighbour_rules(identified).filter("row_fails OR breaks_sequence OR not_later")
+    neighbours = with_neighbour_rules(identified, bits).filter("row_fails OR breaks_sequence OR not_later")
     of_visits = nameless.filter(F.col("visit_id").isNotNull()).select(
         "visit_id", "click_number_in_visit", F.lit(True).alias("row_fails"),
         F.col("click_number_in_visit").isNull().alias("breaks_sequence"), F.lit(False).alias("not_later"))

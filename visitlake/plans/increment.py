@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 from visitlake.functions import source_month
-from visitlake.operators.gold import build_calendar_days, build_gold_clicks, build_products, build_visits
+from visitlake.operators import rollups
+from visitlake.operators.gold import build_calendar_days, build_gold_clicks, build_visits, products_from_counts
 from visitlake.operators.silver import Silver, build_silver
-from visitlake.operators.summaries import run_summaries
 from visitlake.operators.synthetic import add_synthetic_fields
 from visitlake.sources.raw_clicks import add_arrival, to_plain_columns
 from visitlake.sources.reference import build_countries, build_devices
@@ -44,18 +44,20 @@ def build_increment(raw: DataFrame, received_time: datetime, run_time: datetime
                      build_gold_clicks(silver.clicks), build_visits(silver.clicks))
 
 
-def build_whole_dataset(spark: SparkSession, all_clicks: DataFrame, all_visits: DataFrame) -> dict[str, DataFrame]:
-    """Tables that depend on every month, by their name below the Gold folder."""
+def build_whole_dataset(spark: SparkSession, product_months: DataFrame, click_days: DataFrame,
+                        visit_months: DataFrame) -> dict[str, DataFrame]:
+    """Tables that depend on every month, by their name below the Gold folder, merged from the month roll-ups."""
     countries = build_countries(spark)
-    tables = {
-        "products": build_products(all_clicks),
+    return {
+        "products": products_from_counts(product_months),
         "countries": countries,
-        "calendar_days": build_calendar_days(all_clicks),
+        "calendar_days": build_calendar_days(click_days),
         "devices": build_devices(spark),
+        "summaries/daily_visits": rollups.daily_visits(visit_months),
+        "summaries/visit_depth_funnel": rollups.visit_depth_funnel(visit_months),
+        "summaries/bounce_rate_by_product": rollups.bounce_rate_by_product(visit_months),
+        "summaries/visits_by_country_and_device": rollups.visits_by_country_and_device(visit_months, countries),
     }
-    for name, summary in run_summaries(all_visits, countries).items():
-        tables[f"summaries/{name}"] = summary
-    return tables
 
 
 def month_filter(frame: DataFrame, month_column: str, months: list[str]) -> DataFrame:

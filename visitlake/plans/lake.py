@@ -1,5 +1,6 @@
 """Lake runs: process new files, rebuild what depends on every month, report, erase visits, compact."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -7,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
+from visitlake.operators import rollups
 from visitlake.operators.erasure import deleted_visit_ids, remove_deleted_visits
-from visitlake.operators.gold import build_gold_clicks, build_products, build_visits
+from visitlake.operators.gold import build_gold_clicks, build_visits
 from visitlake.operators.quality import category_mismatches, metric, rejections_by_reason
 from visitlake.operators.resends import count_resends
 from visitlake.operators.silver import add_weekend_click, build_silver, problems_of
@@ -18,7 +20,7 @@ from visitlake.sources.landing import erase_visit_lines
 from visitlake.sources.ledger import mark_processed, new_files, touched_months
 from visitlake.sources.raw_clicks import read_raw_clicks, to_plain_columns, utc_literal
 from visitlake.sources.tables import (
-    LakeTables, fit_to_table, replace_months_in_table, table_months, write_whole,
+    LakeTables, fit_to_table, replace_months_in_table, write_whole,
 )
 
 CLICK_ORDER = ["visit_id", "click_number_in_visit"]
@@ -62,9 +64,9 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
     deleted = deleted_visit_ids(spark.table(tables.deleted_visits))
 
     clicks = add_weekend_click(remove_deleted_visits(silver.clicks, deleted))
-    replace_months_in_table(clicks, tables.clicks, months, CLICK_ORDER)
     rejected = remove_deleted_visits(silver.rejected, deleted)
-    replace_months_in_table(rejected, tables.rejected, months, CLICK_ORDER)
+    together(lambda: replace_months_in_table(clicks, tables.clicks, months, CLICK_ORDER),
+             lambda: replace_months_in_table(rejected, tables.rejected, months, CLICK_ORDER))
     refresh_gold(spark, lake, months)
 
     written_clicks = month_filter(spark.table(tables.clicks), "click_month", months)
@@ -74,14 +76,29 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, months: list[str]) -> None:
-    """Gold of the given months from the Silver just written, then every whole-dataset table."""
+    """Gold and roll-ups of the given months from the Silver just written, then every whole-dataset table.
+
+    The cost follows the given months: the whole-dataset tables are merged from the roll-ups.
+    """
     tables = lake.tables
     clicks = month_filter(spark.table(tables.clicks), "click_month", months)
-    replace_months_in_table(build_gold_clicks(clicks), tables.gold_clicks, months, CLICK_ORDER)
     replace_months_in_table(build_visits(clicks), tables.gold_visits, months, ["visit_id"])
-    whole = build_whole_dataset(spark, spark.table(tables.clicks), spark.table(tables.gold_visits))
-    for name, frame in whole.items():
-        write_whole(frame, f"{lake.gold}/{name}")
+    visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
+    together(
+        lambda: replace_months_in_table(build_gold_clicks(clicks), tables.gold_clicks, months, CLICK_ORDER),
+        lambda: replace_months_in_table(rollups.product_months(clicks), tables.product_months, months),
+        lambda: replace_months_in_table(rollups.click_days(clicks), tables.click_days, months),
+        lambda: replace_months_in_table(rollups.visit_months(visits), tables.visit_months, months))
+    whole = build_whole_dataset(spark, spark.table(tables.product_months), spark.table(tables.click_days),
+                                spark.table(tables.visit_months))
+    together(*[lambda frame=frame, name=name: write_whole(frame, f"{lake.gold}/{name}") for name, frame in whole.items()])
+
+
+def together(*jobs) -> None:
+    """Run independent Spark jobs at the same time; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
 
 
 def run_report(spark: SparkSession, lake: Lake, bronze: DataFrame, clicks: DataFrame, rejected: DataFrame,
@@ -146,7 +163,7 @@ def erase_visits(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_tim
 
 def erase_from_table(spark: SparkSession, table: str, month_column: str, months: list[str], visits: DataFrame) -> None:
     """Rewrite the months of a table that hold one of the visits; other months keep their files."""
-    present = month_filter(spark.table(table), month_column, [m for m in months if m in table_months(spark, table)])
+    present = month_filter(spark.table(table), month_column, months)
     hit = sorted(row[0] for row in present.join(visits, "visit_id", "left_semi").select(month_column).distinct().collect())
     if hit:
         kept = remove_deleted_visits(month_filter(spark.table(table), month_column, hit), visits)

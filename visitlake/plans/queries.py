@@ -353,21 +353,22 @@ def increment(spark, sf_dir):
     return checks.all_checks(frames)
 
 
-def _lake(spark, sf_dir) -> tuple[lakes.Lake, str]:
-    """A lake after two runs: three months, then the other three."""
-    source, folder = _landed(spark, sf_dir, MONTHS[:3])
+def _lake(spark, sf_dir, months) -> tuple[lakes.Lake, str]:
+    """A lake after one run over some months."""
+    source, folder = _landed(spark, sf_dir, months)
     names = tables.LakeTables.within(_database(spark, "lake"))
     tables.create_lake_tables(spark, names)
     tables.add_column(spark, names.clicks, "weekend_click", "boolean")
     lake = lakes.Lake(folder, names, f"{folder}-gold", f"{folder}-ledger")
     lakes.run_new_files(spark, lake, RUN_TIME)
-    landing.land_months(spark, source, folder, MONTHS, "first delivery")
-    lakes.run_new_files(spark, lake, RUN_TIME)
     return lake, source
 
 
 def run_increment(spark, sf_dir):
-    lake, _ = _lake(spark, sf_dir)
+    """Two runs: three months, then the other three."""
+    lake, source = _lake(spark, sf_dir, MONTHS[:3])
+    landing.land_months(spark, source, lake.landing, MONTHS, "first delivery")
+    lakes.run_new_files(spark, lake, RUN_TIME)
     count, silver_clicks = F.count("*"), spark.table(lake.tables.clicks)
     return checks.all_checks([
         quality.metric(silver_clicks, total_silver_clicks=count, weekend_clicks=F.count_if("weekend_click"),
@@ -381,7 +382,7 @@ def run_increment(spark, sf_dir):
 
 def erase_visit(spark, sf_dir):
     """Visits of unidentified origin are erased from every layer, then the rewritten months are run again."""
-    lake, _ = _lake(spark, sf_dir)
+    lake, _ = _lake(spark, sf_dir, MONTHS)
     erased = spark.table(lake.tables.gold_visits).filter(F.col("country_code") == ERASED_COUNTRY)
     lakes.erase_visits(spark, lake, erased, RUN_TIME, "request")
     lakes.run_new_files(spark, lake, RUN_TIME)
