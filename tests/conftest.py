@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
 
     from visitlake.session import configure
     session = (SparkSession.builder.master("local[8]").appName("visitlake-tests")
-               .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "6g")
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
@@ -42,15 +42,21 @@ def raw_frame(spark, rows):
     return spark.createDataFrame(values, S.RAW_SCHEMA)
 
 
+def local(spark, frame):
+    """The same rows as a local frame, so that later steps do not compute them again."""
+    return spark.createDataFrame([tuple(row) for row in frame.collect()], frame.schema)
+
+
 def bronze_frame(spark, rows, received=RECEIVED):
     from visitlake.plans.increment import build_bronze
     from visitlake.sources.raw_clicks import to_plain_columns
-    return build_bronze(to_plain_columns(raw_frame(spark, rows)), received)
+    return local(spark, build_bronze(to_plain_columns(raw_frame(spark, rows)), received))
 
 
 def silver(spark, rows):
-    from visitlake.operators.silver import build_silver
-    return build_silver(bronze_frame(spark, rows), RUN)
+    from visitlake.operators.silver import Silver, build_silver
+    found = build_silver(bronze_frame(spark, rows), RUN)
+    return Silver(local(spark, found.clicks), local(spark, found.rejected), found.duplicates_removed)
 
 
 def reasons(frame):

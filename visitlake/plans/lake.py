@@ -13,8 +13,8 @@ from visitlake.operators.erasure import deleted_visit_ids, remove_deleted_visits
 from visitlake.operators.gold import build_gold_clicks, build_visits
 from visitlake.operators.quality import category_mismatches, metric, rejections_by_reason
 from visitlake.operators.resends import count_resends
-from visitlake.operators.silver import add_weekend_click, build_silver, problems_of
-from visitlake.plans.increment import build_bronze, build_whole_dataset, month_filter, source_months
+from visitlake.operators.silver import add_weekend_click
+from visitlake.plans.increment import build_increment, build_whole_dataset, month_filter
 from visitlake.session import staged
 from visitlake.sources.landing import erase_visit_lines
 from visitlake.sources.ledger import mark_processed, new_files, touched_months
@@ -51,16 +51,14 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
                   months: list[str] | None = None, seed: int = S.DEFAULT_SEED) -> DataFrame:
     """Replace the months of the raw rows in every layer, rebuild the whole-dataset tables and report.
 
-    The frame must hold whole months. A month that ends up empty in a layer is removed there. Bronze rows are staged
-    once: they feed the rules, the clean clicks, the rejects and the counts.
+    The frame must hold whole months. A month that ends up empty in a layer is removed there.
     """
     if not raw.columns or raw.isEmpty():
         return _status(spark, "no new source files")
     tables = lake.tables
-    source = with_landing_month(raw)
-    bronze = staged(build_bronze(source, run_time, seed), "bronze")
-    months = months or sorted(row[0] for row in source_months(bronze).collect())
-    silver = build_silver(bronze, run_time, staged(problems_of(bronze), "problems"))
+    increment = build_increment(raw, run_time, seed=seed)
+    silver = increment.silver
+    months = months or sorted(row[0] for row in increment.source_months.collect())
     deleted = deleted_visit_ids(spark.table(tables.deleted_visits))
 
     clicks = add_weekend_click(remove_deleted_visits(silver.clicks, deleted))
@@ -72,7 +70,7 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
     written_clicks = month_filter(spark.table(tables.clicks), "click_month", months)
     written_rejects = month_filter(spark.table(tables.rejected), "source_month", months)
     written_visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
-    return run_report(spark, lake, bronze, written_clicks, written_rejects, written_visits, months)
+    return run_report(spark, lake, increment.bronze, written_clicks, written_rejects, written_visits, months)
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, months: list[str]) -> None:
@@ -142,7 +140,7 @@ def erase_visits(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_tim
     """
     tables = lake.tables
     wanted = staged(visits.select("visit_id").distinct(), "erased-visits")
-    landed = with_landing_month(read_raw_clicks(spark, lake.landing)).select("visit_id", "source_month")
+    landed = to_plain_columns(read_raw_clicks(spark, lake.landing), keep=("source_month",)).select("visit_id", "source_month")
     months = sorted(row[0] for row in landed.join(wanted, "visit_id", "left_semi")
                     .select("source_month").distinct().collect())
     listed = landed.join(wanted, "visit_id", "right").groupBy("visit_id").agg(
@@ -170,9 +168,5 @@ def erase_from_table(spark: SparkSession, table: str, month_column: str, months:
         replace_months_in_table(staged(kept, "kept-rows"), table, hit, CLICK_ORDER)
 
 
-def with_landing_month(raw: DataFrame) -> DataFrame:
-    return to_plain_columns(raw, keep=("source_month",) if "source_month" in raw.columns else ())
-
-
 def _status(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame([(f"status: {text}", 0), ("source_rows", 0)], "metric string, value bigint")
