@@ -1,5 +1,5 @@
 import sys
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -19,7 +19,7 @@ def spark(tmp_path_factory):
     from visitlake.session import configure
     session = (SparkSession.builder.master("local[8]").appName("visitlake-tests")
                .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "6g")
+               .config("spark.driver.memory", "6g").config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())
@@ -54,9 +54,25 @@ def bronze_frame(spark, rows, received=RECEIVED):
 
 
 def silver(spark, rows):
-    from visitlake.operators.silver import Silver, build_silver
+    from visitlake.operators.silver import build_silver
     found = build_silver(bronze_frame(spark, rows), RUN)
-    return Silver(local(spark, found.clicks), local(spark, found.rejected), found.duplicates_removed)
+    found.clicks, found.rejected = local(spark, found.clicks), local(spark, found.rejected)
+    return found
+
+
+def clean_clicks(spark, rows):
+    """Silver rows made by hand from valid source rows: a click a minute from noon."""
+    made = []
+    for row in rows:
+        day = date(row["year"], row["month"], row["day"])
+        time = datetime.combine(day, datetime.min.time()) + timedelta(hours=12, minutes=row["click_number_in_visit"])
+        made.append((
+            f"uci553-{row['visit_id']}-{row['click_number_in_visit']}", row["visit_id"], row["click_number_in_visit"], day,
+            time, 14, row["product_code"], S.CATEGORIES[row["category_code"]], S.COLOURS[row["colour_code"]],
+            row["price_usd"], row["price_above_category_average_code"] == 1, row["page_number_in_shop"],
+            S.PHOTO_POSITIONS[row["photo_position_code"]], S.PHOTO_ANGLES[row["photo_angle_code"]], row["country_code"],
+            "tablet" if row["visit_id"] % 3 else "mobile", time, 0, f"{day:%Y-%m}"))
+    return spark.createDataFrame(made, S.SILVER_SCHEMA)
 
 
 def reasons(frame):

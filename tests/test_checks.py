@@ -1,4 +1,4 @@
-from conftest import click, raw_frame, rows_of, silver
+from conftest import clean_clicks, click, raw_frame, rows_of, silver
 from pyspark.sql import functions as F
 
 from visitlake.operators import checks, gold, quality
@@ -25,7 +25,7 @@ def test_checks_need_a_fact(spark):
 
 
 def test_picked_visit_is_repeatable_and_outside_the_month(spark):
-    clicks = silver(spark, [click(visit, 1, month=4 + visit % 2) for visit in range(1, 20)]).clicks
+    clicks = clean_clicks(spark, [click(visit, 1, month=4 + visit % 2) for visit in range(1, 20)])
     first = checks.pick_visit(clicks, 1, "2008-05").collect()
     assert first == checks.pick_visit(clicks.repartition(5), 1, "2008-05").collect() and first[0].click_month == "2008-04"
 
@@ -38,7 +38,7 @@ def test_rows_of_visits_lists_every_table(spark):
 
 
 def test_suppression_list(spark):
-    clicks = silver(spark, [click(1, 1), click(2, 1)]).clicks
+    clicks = clean_clicks(spark, [click(1, 1), click(2, 1)])
     nobody = spark.createDataFrame([], "visit_id bigint")
     assert remove_deleted_visits(clicks, deleted_visit_ids(nobody)).count() == 2
     listed = spark.createDataFrame([(1,), (1,)], "visit_id bigint")

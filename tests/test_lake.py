@@ -1,5 +1,5 @@
 import pytest
-from conftest import RUN, click, raw_frame, rows_of
+from conftest import RUN, clean_clicks, click, raw_frame, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,20 @@ FIRST, SECOND = "first source", "second source"
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    database = f"lake_{tmp_path.name.replace('-', '_')}_{abs(hash(str(tmp_path)))}"
+    return new_lake(spark, tmp_path)
+
+
+@pytest.fixture(scope="module")
+def two_runs(spark, tmp_path_factory):
+    """A lake after April and then August, both reports, and April's Silver files between the runs."""
+    lake = new_lake(spark, tmp_path_factory.mktemp("two_runs"))
+    first = run(spark, lake, APRIL)
+    april = files(spark, lake.tables.clicks, "2008-04")
+    return lake, first, run(spark, lake, AUGUST), april
+
+
+def new_lake(spark, tmp_path):
+    database = f"lake_{abs(hash(str(tmp_path)))}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/tables'")
     names = tables.LakeTables.within(database)
     tables.create_lake_tables(spark, names)
@@ -42,23 +55,37 @@ def source_file(spark, tmp_path, name, rows):
     return f"{tmp_path}/{name}"
 
 
-def test_second_month_leaves_the_first_alone(spark, lake):
-    first = run(spark, lake, APRIL)
-    april = files(spark, lake.tables.clicks, "2008-04")
-    second = run(spark, lake, AUGUST)
+def test_second_month_leaves_the_first_alone(spark, two_runs):
+    lake, first, second, april = two_runs
     assert first["source_month: 2008-04"] == 1 and "source_month: 2008-08" not in first
     assert (second["source_rows"], second["total_silver_clicks"], second["total_visits"]) == (3, 13, 8)
     assert (second["silver_clicks"], second["visits"], second["one_click_visits"]) == (3, 3, 3)
     assert months(spark, lake.tables.clicks) == {"2008-04": 10, "2008-08": 3}
     assert files(spark, lake.tables.clicks, "2008-04") == april
     assert second["deleted_visits_removed"] == 0
+    assert rows_of(spark.read.parquet(f"{lake.gold}/summaries/visit_depth_funnel"), "shop_page", "visits_reaching_page") == [
+        (1, 8), (2, 0), (3, 0), (4, 0), (5, 0)]
 
 
-def test_rerun_does_not_duplicate(spark, lake):
-    run(spark, lake, APRIL)
-    assert run(spark, lake, APRIL)["total_silver_clicks"] == 10
-    assert rows_of(spark.read.parquet(f"{lake.gold}/summaries/visit_depth_funnel"), "shop_page", "visits_reaching_page") == [
-        (1, 5), (2, 0), (3, 0), (4, 0), (5, 0)]
+def test_tables_keep_wall_clock_timestamps(spark, two_runs):
+    stored = spark.table(two_runs[0].tables.clicks)
+    assert isinstance(stored.schema["received_time"].dataType, T.TimestampNTZType)
+    assert {str(row[0]) for row in stored.select("received_time").distinct().collect()} == {"2024-09-01 12:05:00"}
+
+
+def test_report_is_written_as_json(spark, two_runs, tmp_path):
+    report = spark.createDataFrame(list(two_runs[2].items()), "metric string, value bigint")
+    lakes.write_report(report, f"{tmp_path}/report")
+    assert dict(rows_of(spark.read.json(f"{tmp_path}/report"), "metric", "value")) == two_runs[2]
+
+
+def test_compaction_keeps_rows(spark, two_runs):
+    table = two_runs[0].tables.clicks
+    rows, august = sorted(spark.table(table).collect()), files(spark, table, "2008-08")
+    tables.write_months_to_table(spark.table(table).filter("click_month = '2008-04'"), table)
+    tables.compact_month(spark, table, "2008-04")
+    assert sorted(spark.table(table).collect()) == rows
+    assert len(files(spark, table, "2008-04")) == 1 and files(spark, table, "2008-08") == august
 
 
 def test_nothing_to_do(spark, lake):
@@ -67,33 +94,29 @@ def test_nothing_to_do(spark, lake):
     assert lakes.run_increment(spark, no_columns, lake, RUN).head()["metric"] == "status: no new source files"
 
 
-def test_all_rejected(spark, lake):
-    report = run(spark, lake, [click(1, 1, country_code=99)])
-    assert (report["rejected_rows"], report["total_silver_clicks"]) == (1, 0)
-    assert report["rejected: country_code outside 1-47"] == 1
-
-
 def test_month_that_becomes_empty_is_removed_from_every_layer(spark, lake):
     run(spark, lake, APRIL + AUGUST)
     report = run(spark, lake, [click(1, 1, country_code=99)])
+    assert (report["rejected_rows"], report["silver_clicks"]) == (1, 0)
+    assert report["rejected: country_code outside 1-47"] == 1
     assert report["total_silver_clicks"] == 3 and report["total_visits"] == 3
     assert months(spark, lake.tables.clicks) == months(spark, lake.tables.gold_clicks) == {"2008-08": 3}
     assert months(spark, lake.tables.gold_visits, "visit_month") == {"2008-08": 3}
     assert months(spark, lake.tables.rejected, "source_month") == {"2008-04": 1}
     days = spark.read.parquet(f"{lake.gold}/summaries/daily_visits")
     assert rows_of(days.select(F.col("visit_date").cast("string")), "visit_date") == [("2008-08-13",)]
-    run(spark, lake, APRIL)
-    assert months(spark, lake.tables.rejected, "source_month") == {}
 
 
 def test_writer_follows_the_table_columns(spark, lake):
     table = lake.tables.clicks
-    run(spark, lake, APRIL)
+    april = add_weekend_click(clean_clicks(spark, APRIL))
+    august = add_weekend_click(clean_clicks(spark, [click(10, 1, month=8, day=16), click(11, 1, month=8, day=13)]))
+    tables.write_months_to_table(april, table)
     assert "weekend_click" not in spark.table(table).columns
     april = files(spark, table, "2008-04")
     tables.add_column(spark, table, "weekend_click", "boolean")
     tables.add_column(spark, table, "weekend_click", "boolean")
-    run(spark, lake, [click(10, 1, month=8, day=16), click(11, 1, month=8, day=13)])
+    tables.write_months_to_table(august, table)
     assert dict(rows_of(spark.table(table).filter("visit_id > 5"), "visit_id", "weekend_click")) == {10: True, 11: False}
     assert {row[0] for row in spark.table(table).filter("visit_id <= 5").select("weekend_click").collect()} == {None}
     assert files(spark, table, "2008-04") == april
@@ -101,20 +124,14 @@ def test_writer_follows_the_table_columns(spark, lake):
         tables.write_months_to_table(spark.table(table).drop("weekend_click"), table)
 
 
-def test_tables_keep_wall_clock_timestamps(spark, lake):
-    run(spark, lake, APRIL)
-    stored = spark.table(lake.tables.clicks)
-    assert isinstance(stored.schema["received_time"].dataType, T.TimestampNTZType)
-    assert {str(row[0]) for row in stored.select("received_time").collect()} == {"2024-09-01 12:05:00"}
-
-
 def test_listed_visit_stays_out_and_others_are_identical(spark, lake):
     run(spark, lake, APRIL)
     before = {name: spark.table(table).collect() for name, table in
               (("clicks", lake.tables.clicks), ("visits", lake.tables.gold_visits))}
     entry = spark.sql("SELECT 3L AS visit_id, TIMESTAMP_NTZ '2024-09-02 00:00:00' AS deleted_time, 'x' AS reason, 'y' AS bronze_key")
     tables.fit_to_table(entry, lake.tables.deleted_visits).write.insertInto(lake.tables.deleted_visits)
-    assert run(spark, lake, APRIL)["deleted_visits_removed"] == 2
+    rerun = run(spark, lake, APRIL)
+    assert (rerun["deleted_visits_removed"], rerun["total_silver_clicks"]) == (2, 8)
     for name, table in (("clicks", lake.tables.clicks), ("visits", lake.tables.gold_visits)):
         after = spark.table(table).collect()
         assert sorted(after) == sorted(row for row in before[name] if row.visit_id != 3)
@@ -213,17 +230,6 @@ def test_stream_hands_over_each_file_once(spark, lake, tmp_path):
     assert [count for count in seen if count] == [10, 3]
 
 
-def test_compaction_keeps_rows(spark, lake):
-    run(spark, lake, APRIL + AUGUST)
-    table = lake.tables.clicks
-    rows, august = sorted(spark.table(table).collect()), files(spark, table, "2008-08")
-    for number in (1, 2, 3):
-        spark.table(table).filter("click_month = '2008-04'").limit(0).write.insertInto(table)
-    tables.compact_month(spark, table, "2008-04")
-    assert sorted(spark.table(table).collect()) == rows
-    assert len(files(spark, table, "2008-04")) == 1 and files(spark, table, "2008-08") == august
-
-
 def test_month_folders_read_with_a_declared_schema(spark, tmp_path):
     assert tables.read_months(spark, f"{tmp_path}/none", S.VISITS_SCHEMA).count() == 0
     frame = spark.createDataFrame([(1, "2008-04"), (2, "2008-05")], "n bigint, month string")
@@ -232,10 +238,5 @@ def test_month_folders_read_with_a_declared_schema(spark, tmp_path):
     assert rows_of(tables.read_months(spark, f"{tmp_path}/m", frame.schema), "n", "month") == [(2, "2008-05"), (9, "2008-04")]
 
 
-def test_report_is_written_as_json(spark, lake, tmp_path):
-    lakes.write_report(lakes.run_increment(spark, raw_frame(spark, APRIL), lake, RUN), f"{tmp_path}/report")
-    assert dict(rows_of(spark.read.json(f"{tmp_path}/report"), "metric", "value"))["silver_clicks"] == 10
-
-
 def test_weekend_helper_needs_only_a_date(spark):
     assert add_weekend_click(spark.sql("SELECT DATE '2008-04-05' AS click_date")).head()["weekend_click"] is True

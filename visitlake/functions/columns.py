@@ -1,7 +1,5 @@
 """Column expressions. All of them are built-in functions, so they stay inside generated code."""
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,19 +8,16 @@ from visitlake import schemas as S
 
 def decode(labels: dict, code: Column | str) -> Column:
     """Label of a code, NULL when the code is not in the table."""
-    pairs = chain.from_iterable((F.lit(key).cast("bigint"), F.lit(label)) for key, label in labels.items())
-    return F.try_element_at(F.create_map(*pairs), _col(code))
+    pairs = ", ".join(f"{key}L, '{label}'" for key, label in labels.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), _col(code))
 
 
-def real_date(year="year", month="month", day="day") -> Column:
+def real_date(year: str = "year", month: str = "month", day: str = "day") -> Column:
     """The calendar date, NULL when there is no such date (month 13, 31 April)."""
-    year, month, day = _col(year), _col(month), _col(day)
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    last_day = (F.when(month == 2, F.when(leap, 29).otherwise(28))
-                .when(month.isin(4, 6, 9, 11), 30)
-                .otherwise(31))
-    exists = year.between(1, 9999) & month.between(1, 12) & day.between(1, last_day)
-    return F.when(exists, F.make_date(year.cast("int"), month.cast("int"), day.cast("int")))
+    leap = f"({year} % 4 = 0 AND {year} % 100 <> 0 OR {year} % 400 = 0)"
+    last_day = f"CASE WHEN {month} = 2 THEN IF({leap}, 29, 28) WHEN {month} IN (4, 6, 9, 11) THEN 30 ELSE 31 END"
+    exists = f"{year} BETWEEN 1 AND 9999 AND {month} BETWEEN 1 AND 12 AND {day} BETWEEN 1 AND {last_day}"
+    return F.expr(f"CASE WHEN {exists} THEN make_date(CAST({year} AS INT), CAST({month} AS INT), CAST({day} AS INT)) END")
 
 
 def month_of(date: Column | str) -> Column:

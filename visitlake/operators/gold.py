@@ -1,6 +1,6 @@
 """Gold: click and visit grain, products and calendar days."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
@@ -11,56 +11,72 @@ def build_gold_clicks(clicks: DataFrame) -> DataFrame:
     return clicks.select(S.GOLD_CLICK_COLUMNS)
 
 
+def _position(labels, column: str) -> Column:
+    """Place of a label in its code table from 1, 0 when it is not there."""
+    names = ", ".join(f"'{label}'" for label in labels)
+    return F.expr(f"array_position(array({names}), {column})").cast("int")
+
+
 def build_visits(clicks: DataFrame) -> DataFrame:
     """One row per visit.
 
-    Counting distinct products makes Spark aggregate per visit and product first and per visit afterwards, both with a
-    map side, so a very long visit spreads over the tasks and no set of products is held in memory. Categories come
-    from a closed code table, so their set is never larger than that table.
+    Clicks are combined per visit and product first, which spreads a very long visit over the tasks and makes the
+    distinct products a plain count afterwards. That first step keeps only fixed-width values (labels as their place in
+    the code table), so it runs as a hash aggregation. Categories come from a closed code table: four bits tell which
+    of them a visit saw. A device outside the code table stays a key of the first step.
     """
-    number = "click_number_in_visit"
-    first = F.min(F.struct(number, "click_date", "country_code", "device_type_synthetic", "product_code"))
-    visits = clicks.groupBy("visit_id").agg(
-        first.alias("first"),
-        F.max(F.struct(number, "product_code")).alias("last"),
-        F.min("click_time_synthetic").alias("visit_start_time_synthetic"),
-        F.max("click_time_synthetic").alias("visit_end_time_synthetic"),
-        F.count("click_id").alias("clicks_in_visit"),
-        F.count_distinct("product_code").alias("products_viewed"),
-        F.size(F.collect_set("category")).cast("bigint").alias("categories_viewed"),
-        F.max("page_number_in_shop").alias("deepest_page_reached"))
+    number, devices = "click_number_in_visit", list(S.DEVICE_WEIGHTS)
+    device = _position(devices, "device_type_synthetic")
+    seen = F.bit_or(F.expr("shiftleft(1L, _category)"))
+    per_product = clicks.withColumns({
+        "_device": device,
+        "_category": _position(S.CATEGORIES.values(), "category"),
+        "_other_device": F.when(device == 0, F.col("device_type_synthetic")),
+    }).groupBy("visit_id", "product_code", "_other_device").agg(
+        F.min(number).alias("first_number"), F.max(number).alias("last_number"),
+        F.min_by("click_date", number).alias("date"), F.min_by("country_code", number).alias("country"),
+        F.min_by("_device", number).alias("device"), F.min("click_time_synthetic").alias("start"),
+        F.max("click_time_synthetic").alias("end"), F.count("click_id").alias("clicks"),
+        F.max("page_number_in_shop").alias("deepest"), seen.alias("categories"))
+    visits = per_product.groupBy("visit_id").agg(
+        F.min(F.struct("first_number", "date", "country", "device", "_other_device", "product_code")).alias("first"),
+        F.max(F.struct("last_number", "product_code")).alias("last"),
+        F.min("start").alias("visit_start_time_synthetic"), F.max("end").alias("visit_end_time_synthetic"),
+        F.sum("clicks").alias("clicks_in_visit"), F.count("product_code").alias("products_viewed"),
+        F.bit_count(F.bit_or("categories")).cast("bigint").alias("categories_viewed"),
+        F.max("deepest").alias("deepest_page_reached"))
+    label = F.get(F.array(*map(F.lit, devices)), F.col("first.device") - 1)
     return visits.withColumns({
-        "visit_date": F.col("first.click_date"),
-        "country_code": F.col("first.country_code"),
-        "device_type_synthetic": F.col("first.device_type_synthetic"),
+        "visit_date": F.col("first.date"),
+        "country_code": F.col("first.country"),
+        "device_type_synthetic": F.coalesce("first._other_device", label),
         "visit_length_seconds_synthetic": seconds_between("visit_start_time_synthetic", "visit_end_time_synthetic"),
         "bounced": F.col("clicks_in_visit") == 1,
         "first_product_viewed": F.col("first.product_code"),
         "last_product_viewed": F.col("last.product_code"),
-        "visit_month": month_of(F.col("first.click_date")),
+        "visit_month": month_of(F.col("first.date")),
     }).select(S.VISIT_COLUMNS)
 
 
 def category_counts(clicks: DataFrame, *also_by: str) -> DataFrame:
-    """Clicks per product and category, with the attributes of the first click in visit order and where it was seen.
+    """Clicks per product, category and attribute values, and the first place they were seen at.
 
-    At most a handful of rows per product are left after the map side, however popular the product is.
+    Attributes are fixed per product, so a handful of rows per product is left after the map side, however popular the
+    product is. The place (visit, then click number) is one whole number: a hash aggregation can keep its minimum.
     """
-    position = F.struct("visit_id", "click_number_in_visit")
-    return clicks.groupBy(*also_by, "product_code", "category").agg(
-        F.count("*").alias("clicks"),
-        F.min_by(F.struct(*S.PRODUCT_ATTRIBUTES), position).alias("attributes"),
-        F.min(position).alias("seen"))
+    place = F.expr("CAST(visit_id AS DECIMAL(19, 0)) * 10000000000000000000BD + click_number_in_visit")
+    return clicks.groupBy(*also_by, "product_code", "category", *S.PRODUCT_ATTRIBUTES).agg(
+        F.count("*").alias("clicks"), F.min(place).cast("decimal(38, 0)").alias("seen"))
 
 
 def products_from_counts(counts: DataFrame) -> DataFrame:
     """Products from category counts, which may come in several parts per product and category."""
     merged = counts.groupBy("product_code", "category").agg(
-        F.sum("clicks").alias("clicks"), F.min_by("attributes", "seen").alias("attributes"), F.min("seen").alias("seen"))
+        F.sum("clicks").alias("clicks"), F.min(F.struct("seen", *S.PRODUCT_ATTRIBUTES)).alias("first"))
     most_frequent = F.struct((-F.col("clicks")).alias("order"), "category")
     return (merged.groupBy("product_code")
-            .agg(F.min(most_frequent).alias("top"), F.min_by("attributes", "seen").alias("attributes"))
-            .select("product_code", "top.category", "attributes.*")
+            .agg(F.min(most_frequent).alias("top"), F.min("first").alias("first"))
+            .select("product_code", "top.category", "first.*")
             .select(S.PRODUCT_COLUMNS))
 
 

@@ -14,7 +14,7 @@ DAY, DEPTH, ENTRY_PRODUCT, ORIGIN = "day", "depth", "entry product", "origin"
 
 
 def product_months(clicks: DataFrame) -> DataFrame:
-    """Clicks per month, product and category, with the attributes of the first click and where it was seen."""
+    """Clicks per month, product, category and attribute values, with the place of the first of them."""
     return category_counts(clicks, "click_month").select(S.PRODUCT_MONTHS_SCHEMA.fieldNames())
 
 

@@ -9,9 +9,6 @@ visits, pre-aggregated before its shuffle and joined back; Spark broadcasts that
 and otherwise splits skewed visits in the sort-merge join.
 """
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,34 +17,28 @@ from visitlake.functions import real_date, shop_local_time
 from visitlake.operators.resends import has_identity
 from visitlake.operators.sequence import PIECE_BITS, with_previous_click
 
-def fails(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(True))
-
-
-def missing_field() -> Column:
-    return reduce(or_, [F.col(name).isNull() for name in S.REQUIRED_COLUMNS])
-
-
-def outside_range(column: str) -> Column:
-    low, high = S.CODE_RANGES[column]
-    return fails(~F.col(column).between(low, high))
-
-
 def range_reason(column: str) -> str:
     low, high = S.CODE_RANGES[column]
     return f"{column} outside {low}-{high}"
 
 
+def row_rules() -> list[tuple[str, str]]:
+    """Reason and failing condition of the rules before the contiguity rule. Conditions may be NULL."""
+    missing = " OR ".join(f"{column} IS NULL" for column in S.REQUIRED_COLUMNS)
+    ranges = [(range_reason(column), f"{column} NOT BETWEEN {low} AND {high}")
+              for column, (low, high) in S.CODE_RANGES.items()]
+    return [(S.MISSING_FIELD, missing), (S.INVALID_DATE, "_real_date IS NULL"), *ranges]
+
+
 def with_row_rules(clicks: DataFrame) -> DataFrame:
     """Add what each row shows by itself.
 
     ``_real_date``; ``_row_reason`` from the rules before the contiguity rule; ``_off_date`` from the rule about the
     time's date; ``_row_fails`` when any of them fails, so that narrow steps can leave the reason's text behind.
     """
-    reason = F.when(missing_field(), S.MISSING_FIELD).when(F.col("_real_date").isNull(), S.INVALID_DATE)
-    for column in S.CODE_RANGES:
-        reason = reason.when(outside_range(column), range_reason(column))
-    off_date = fails(F.to_date(shop_local_time("click_time_synthetic")) != F.col("_real_date"))
+    branches = " ".join(f"WHEN coalesce({failed}, TRUE) THEN '{reason}'" for reason, failed in row_rules())
+    reason = F.expr(f"CASE {branches} END")
+    off_date = F.coalesce(F.to_date(shop_local_time("click_time_synthetic")) != F.col("_real_date"), F.lit(True))
     return clicks.withColumn("_real_date", real_date()).withColumns({
         "_row_reason": reason, "_off_date": off_date, "_row_fails": reason.isNotNull() | off_date})
 

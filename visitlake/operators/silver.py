@@ -1,7 +1,7 @@
 """Silver: one clean, decoded row per click; failing clicks are kept with a reason."""
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +15,31 @@ from visitlake.operators.rules import (
 from visitlake.sources.raw_clicks import utc_literal
 
 
-@dataclass(frozen=True)
 class Silver:
-    clicks: DataFrame
-    rejected: DataFrame
-    duplicates_removed: DataFrame
+    """Clean clicks, rejects and the number of resends of a Bronze frame, each built when it is asked for."""
+
+    def __init__(self, bronze: DataFrame, run_time: datetime, problems: DataFrame | None = None):
+        self._bronze, self._run_time, self._problems = bronze, run_time, problems
+
+    @cached_property
+    def _judged(self) -> tuple[DataFrame, DataFrame]:
+        return judge(self._bronze)
+
+    @cached_property
+    def problems(self) -> DataFrame:
+        return problems_of(self._bronze) if self._problems is None else self._problems
+
+    @cached_property
+    def clicks(self) -> DataFrame:
+        return clean_clicks(self._judged[0], self.problems)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return rejected_clicks(*self._judged, self.problems, self._run_time)
+
+    @cached_property
+    def duplicates_removed(self) -> DataFrame:
+        return count_resends(self._bronze)
 
 
 def judge(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,10 +58,7 @@ def problems_of(bronze: DataFrame) -> DataFrame:
 
 def build_silver(bronze: DataFrame, run_time: datetime, problems: DataFrame | None = None) -> Silver:
     """Bronze to clean clicks and rejects. ``problems`` may be handed in when it was staged before."""
-    clicks, nameless = judge(bronze)
-    problems = problems_of(bronze) if problems is None else problems
-    return Silver(clean_clicks(clicks, problems), rejected_clicks(clicks, nameless, problems, run_time),
-                  count_resends(bronze))
+    return Silver(bronze, run_time, problems)
 
 
 def clean_clicks(clicks: DataFrame, problems: DataFrame) -> DataFrame:

@@ -21,13 +21,13 @@ LAST_SECOND = 86_399
 
 
 def start_second(seed: int) -> Column:
-    """Second of the day a visit would start at: weighted hour, then a second within it."""
-    weight = draw(seed, "visit_id", "hour") * sum(S.HOUR_WEIGHTS)
-    bounds = list(accumulate(S.HOUR_WEIGHTS))
-    hour = F.when(weight < bounds[0], 0)
-    for number, bound in enumerate(bounds[1:-1], start=1):
-        hour = hour.when(weight < bound, number)
-    hour = hour.otherwise(len(bounds) - 1)
+    """Second of the day a visit would start at: weighted hour, then a second within it.
+
+    Every hour fills as many slots of a lookup array as its weight, so one draw picks a slot.
+    """
+    slots = [hour for hour, weight in enumerate(S.HOUR_WEIGHTS) for _ in range(weight)]
+    slot = F.floor(draw(seed, "visit_id", "hour") * len(slots)).cast("int")
+    hour = F.get(F.expr(f"array({', '.join(map(str, slots))})"), slot)
     return hour * 3600 + F.floor(draw(seed, "visit_id", "sec") * 3600)
 
 

@@ -127,10 +127,7 @@ DEVICES_SCHEMA = _schema((_TEXT, "device_type"))
 CALENDAR_SCHEMA = _schema((_DATE, "calendar_date"), (_TEXT, "day_of_week"), (_LONG, "week_number"), (_TEXT, "month_name"))
 
 PRODUCT_MONTHS_SCHEMA = T.StructType(
-    _schema((_TEXT, "product_code category"), (_LONG, "clicks")).fields
-    + [T.StructField("attributes", T.StructType(PRODUCTS_SCHEMA.fields[2:]), True),
-       T.StructField("seen", _schema((_LONG, "visit_id click_number_in_visit")), True)]
-    + _schema((_TEXT, "click_month")).fields)
+    PRODUCTS_SCHEMA.fields + _schema((_LONG, "clicks"), (T.DecimalType(38, 0), "seen"), (_TEXT, "click_month")).fields)
 CLICK_DAYS_SCHEMA = _schema((_DATE, "click_date"), (_TEXT, "click_month"))
 VISIT_MONTHS_SCHEMA = _schema(
     (_TEXT, "kind"), (_DATE, "visit_date"), (_LONG, "deepest"), (_TEXT, "product_code"), (_LONG, "country_code"),

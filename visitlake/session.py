@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # The product roll-up keeps a few thousand small buffers; the default of 128 would make it sort its input.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 
