@@ -15,13 +15,14 @@ def has_identity():
 
 
 def keep_earliest(bronze: DataFrame) -> DataFrame:
-    """One row per click id: the earliest received, equal times decided by the row's content.
+    """One row per click: the earliest received, equal times decided by the row's content.
 
-    Filtering on the first row number lets Spark drop later copies on the map side, before the shuffle, so a click
-    resent millions of times does not fill one task.
+    A click id is made of its visit and click number; these two sort much faster than the text. Filtering on the first
+    row number lets Spark drop later copies on the map side, before the shuffle, so a click resent millions of times
+    does not fill one task.
     """
     content = F.xxhash64(*[name for name in bronze.columns if not name.startswith("_")])
-    earliest = Window.partitionBy("click_id").orderBy("received_time", content)
+    earliest = Window.partitionBy("visit_id", "click_number_in_visit").orderBy("received_time", content)
     return (bronze.filter(has_identity())
             .withColumn("_copy", F.row_number().over(earliest))
             .filter(F.col("_copy") == 1).drop("_copy"))
@@ -32,11 +33,11 @@ def without_identity(bronze: DataFrame) -> DataFrame:
 
 
 def remove_resends(bronze: DataFrame) -> DataFrame:
-    """All rows that Silver has to judge: one copy per click, plus every row without a full identity."""
+    """All rows that Silver has to judge: one copy per click, and every row without a full identity."""
     return keep_earliest(bronze).unionByName(without_identity(bronze))
 
 
 def count_resends(bronze: DataFrame) -> DataFrame:
     """One row: ``duplicates_removed``."""
-    copies = bronze.filter(has_identity()).groupBy("click_id").agg(F.count("*").alias("copies"))
+    copies = bronze.filter(has_identity()).groupBy("visit_id", "click_number_in_visit").agg(F.count("*").alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"))
