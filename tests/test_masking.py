@@ -36,3 +36,9 @@ def test_mask_versions(spark):
 def test_mask_visit_hides_only_the_visit_part_of_its_click_ids(spark):
     mask = lambda column: fn.mask_visit(column, F.lit(42))
     assert masked(spark, "uci553-42-7 uci553-421-7 42", mask) == "uci553-visit A-7 uci553-421-7 42"
+
+
+def test_mask_visit_fields_of_json(spark):
+    text = '{"visit_id": 42, "other": 42, "rows": [{"visit_id":"42"}, {"visit_id": null}]}'
+    assert masked(spark, text, fn.mask_visit_fields) == (
+        '{"visit_id": "visit A", "other": 42, "rows": [{"visit_id":"visit A"}, {"visit_id": null}]}')

@@ -12,6 +12,7 @@ ACCOUNT = r"(?<![0-9])[0-9]{12}(?![0-9])"
 VERSION_FIELD = r"""("?VersionId"?\s*[:=]\s*"?)([^\s",}]+)"""
 VERSION_ID = (r"(?<![A-Za-z0-9._+/-])(?=[A-Za-z0-9._+]*[0-9])(?=[A-Za-z0-9._+]*[A-Za-z])"
               r"[A-Za-z0-9._+]{32}(?![A-Za-z0-9._+-])")
+VISIT_FIELD = r"""("visit_id"\s*:\s*)("[^"]*"|-?[0-9.]+)"""
 VISIT_LABEL = "visit A"
 
 # Stands around a bucket's role between the two replacement steps; never present in the input of the second one.
@@ -61,3 +62,9 @@ def mask_visit(text: Column | str, visit: Column | str) -> Column:
     masked = mask_versions(mask_text(text))
     pattern = F.concat(F.lit("(uci553-)"), visit.cast("string"), F.lit("(-)"))
     return F.regexp_replace(masked, pattern, F.lit(f"$1{VISIT_LABEL}$2"))
+
+
+def mask_visit_fields(json_text: Column | str) -> Column:
+    """In JSON text, the label instead of every value of a field that carries a visit id; a null stays."""
+    json_text = F.col(json_text) if isinstance(json_text, str) else json_text
+    return F.regexp_replace(json_text, VISIT_FIELD, f'$1"{VISIT_LABEL}"')

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 from visitlake.operators.gold import category_counts
+from visitlake.operators.summaries import funnel_of_depths
 
 DAY, DEPTH, ENTRY_PRODUCT, ORIGIN = "day", "depth", "entry product", "origin"
 
@@ -61,13 +62,7 @@ def daily_visits(rollup: DataFrame) -> DataFrame:
 
 
 def visit_depth_funnel(rollup: DataFrame) -> DataFrame:
-    pages = rollup.sparkSession.range(1, S.SHOP_PAGES + 1).withColumnRenamed("id", "shop_page")
-    one = F.lit(1).cast("bigint")
-    reached = (_of(rollup, DEPTH).filter("deepest >= 1")
-               .select("visits", F.explode(F.sequence(one, F.col("deepest"))).alias("shop_page"))
-               .groupBy("shop_page").agg(F.sum("visits").alias("visits")))
-    return (pages.join(reached, "shop_page", "left")
-            .select("shop_page", F.coalesce("visits", F.lit(0)).alias("visits_reaching_page")).orderBy("shop_page"))
+    return funnel_of_depths(_of(rollup, DEPTH).groupBy("deepest").agg(F.sum("visits").alias("visits")))
 
 
 def bounce_rate_by_product(rollup: DataFrame) -> DataFrame:

@@ -23,21 +23,20 @@ def daily_visits(visits: DataFrame) -> DataFrame:
             .orderBy("visit_date"))
 
 
-def visit_depth_funnel(visits: DataFrame) -> DataFrame:
-    """Visits that reached at least each shop page; all pages are listed.
-
-    Visits are counted per deepest page first. Each of those few counts then belongs to every page up to it, so no
-    visit is ever paired with a page.
-    """
-    pages = visits.sparkSession.range(1, S.SHOP_PAGES + 1).withColumnRenamed("id", "shop_page")
-    reached = (visits.groupBy(F.least("deepest_page_reached", F.lit(S.SHOP_PAGES)).alias("deepest"))
-               .agg(F.count("visit_id").alias("visits"))
-               .filter("deepest >= 1")
-               .withColumn("shop_page", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("deepest"))))
+def funnel_of_depths(counted: DataFrame) -> DataFrame:
+    """Funnel from ``deepest, visits`` counts. Each count belongs to every page up to its depth; all pages are listed."""
+    pages = counted.sparkSession.range(1, S.SHOP_PAGES + 1).withColumnRenamed("id", "shop_page")
+    up_to = F.sequence(F.lit(1).cast("bigint"), F.col("deepest"))
+    reached = (counted.filter("deepest >= 1").select("visits", F.explode(up_to).alias("shop_page"))
                .groupBy("shop_page").agg(F.sum("visits").alias("visits")))
     return (pages.join(reached, "shop_page", "left")
-            .select("shop_page", F.coalesce("visits", F.lit(0)).alias("visits_reaching_page"))
-            .orderBy("shop_page"))
+            .select("shop_page", F.coalesce("visits", F.lit(0)).alias("visits_reaching_page")).orderBy("shop_page"))
+
+
+def visit_depth_funnel(visits: DataFrame) -> DataFrame:
+    """Visits that reached at least each shop page. Counted per depth first, so no visit is paired with a page."""
+    depth = F.least("deepest_page_reached", F.lit(S.SHOP_PAGES)).alias("deepest")
+    return funnel_of_depths(visits.groupBy(depth).agg(F.count("visit_id").alias("visits")))
 
 
 def bounce_rate_by_product(visits: DataFrame) -> DataFrame:

@@ -141,10 +141,9 @@ def erase_visits(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_tim
     tables = lake.tables
     wanted = staged(visits.select("visit_id").distinct(), "erased-visits")
     landed = to_plain_columns(read_raw_clicks(spark, lake.landing), keep=("source_month",)).select("visit_id", "source_month")
-    months = sorted(row[0] for row in landed.join(wanted, "visit_id", "left_semi")
-                    .select("source_month").distinct().collect())
-    listed = landed.join(wanted, "visit_id", "right").groupBy("visit_id").agg(
-        F.min("source_month").alias("source_month"))
+    hits = staged(landed.join(wanted, "visit_id", "left_semi").distinct(), "erased-months")
+    months = sorted(row[0] for row in hits.select("source_month").distinct().collect())
+    listed = wanted.join(hits, "visit_id", "left").groupBy("visit_id").agg(F.min("source_month").alias("source_month"))
     entries = listed.select(
         "visit_id", utc_literal(deleted_time).alias("deleted_time"), F.lit(reason).alias("reason"),
         F.concat(F.lit("source_month="), "source_month").alias("bronze_key"))

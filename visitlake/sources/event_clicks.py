@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
-from visitlake.functions import click_id, draw, shop_local_time
+from visitlake.functions import click_id, shop_local_time
 from visitlake.operators.sequence import with_position
 from visitlake.operators.synthetic import device
 from visitlake.sources.raw_clicks import append_resends

@@ -109,7 +109,7 @@ def erase_visit_lines(spark: SparkSession, landing: str, months: list[str], visi
     lines = (spark.read.option("basePath", landing)
              .text([f"{landing}/source_month={month}" for month in months]).withColumnRenamed("value", "line"))
     header = header_of(lines)
-    position = header.lstrip("﻿").split(S.SOURCE_SEPARATOR).index(S.SOURCE_VISIT_COLUMN)
+    position = header.lstrip("\ufeff").split(S.SOURCE_SEPARATOR).index(S.SOURCE_VISIT_COLUMN)
     visit = F.get(F.split("line", S.SOURCE_SEPARATOR), F.lit(position))
     data = lines.filter((F.col("line") != header) & (F.trim("line") != "")).withColumn("visit_text", visit)
     erased = visits.select(F.col("visit_id").cast("string").alias("visit_text")).distinct()

@@ -1,7 +1,6 @@
 """Reference tables that come from the code tables."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 from visitlake.functions import country_kind
