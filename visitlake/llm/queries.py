@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, packing
+from visitlake.llm import bpe, covering_simhash, packing
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,10 +22,16 @@ def op5_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_simhash(spark, sf_dir):
+    rows = covering_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries():
     return {
         "op4_packing": op4_packing,
         "op5_bpe": op5_bpe,
+        "op7_simhash": op7_simhash,
     }
 
 
