@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, covering_simhash, packing
+from visitlake.llm import bpe, covering_simhash, packing, quality_rules, two_pass_shuffle
+from visitlake.session import scratch_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -13,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark, sf_dir):
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *[f"quality.{name}" for name in names])
+
+
 def op4_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -27,13 +34,64 @@ def op7_simhash(spark, sf_dir):
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_shuffle(spark, sf_dir):
+    docs, path = table(spark, sf_dir, "documents"), scratch_folder(spark, "shards")
+    two_pass_shuffle.shuffle_to_shards(docs, path)
+    text = F.coalesce("text", F.lit(""))
+    return two_pass_shuffle.read_shards(spark, path, docs.schema).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries():
     return {
+        "op1_quality": op1_quality,
         "op4_packing": op4_packing,
         "op5_bpe": op5_bpe,
         "op7_simhash": op7_simhash,
+        "op8_shuffle": op8_shuffle,
     }
 
 
+# SQL of the queries that SQL can express. Word and blank classes are those of the queries' contract, written out.
+
+QUALITY_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS part
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM texts WHERE len(words) >= 8)),
+repeated AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n FROM windows SEMI JOIN (
+        SELECT doc_id, part FROM windows GROUP BY ALL HAVING count(*) > 1) AS twice USING (doc_id, part),
+        (SELECT unnest(range(0, 8)) AS j) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
+judged AS (
+    SELECT doc_id, line, length(line) AS chars, words, (separators >= 2 AND separators * 4 >= words)
+        OR symbols * 10 > length(line) OR marks * 2 > words
+        OR regexp_matches(lower(line), 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|lorem ipsum|click here|sign up for|log in to|subscribe to our|under the mit license|apache license|creative commons')
+        OR (words < 4 AND NOT regexp_matches(line, '[.!?:;…''"”’»)\]][\x20\x09-\x0D]*$')) AS failed
+    FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+                 len(regexp_extract_all(line, '[|»›•·]')) AS separators,
+                 len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols, len(regexp_extract_all(line, '!')) AS marks FROM lines)
+    WHERE words > 0),
+by_lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, sum(chars) AS chars,
+           coalesce(sum(chars) FILTER (failed), 0) AS lost FROM judged GROUP BY doc_id),
+counted AS (
+    SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n, 0) AS n_repeat_words, coalesce(lost, 0) AS lost, coalesce(chars, 0) AS chars
+    FROM texts LEFT JOIN repeated USING (doc_id) LEFT JOIN by_lines USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 2 * lost <= chars AS kept
+FROM counted
+"""
+
+
 def oracle_sql():
-    return {}
+    return {
+        "op1_quality": QUALITY_SQL,
+    }
