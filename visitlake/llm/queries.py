@@ -1,11 +1,11 @@
 """The registered queries of this package and the SQL they are checked against."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, covering_simhash, packing, quality_rules, two_pass_shuffle
-from visitlake.session import scratch_folder
+from visitlake.llm import bpe, covering_simhash, packing, quality_rules, reply_trees, two_pass_shuffle, url_filter
+from visitlake.session import scratch_folder, staged
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +20,18 @@ def op1_quality(spark, sf_dir):
     return judged.select("doc_id", *[f"quality.{name}" for name in names])
 
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Three equal symbols in a row, as in pages of noise; so many make a page's URL listed.
+NOISE, NOISY = r"[*]{3}|%{3}|#{3}|[$]{3}|(&amp;){3}", 20
+
+
+def op3_urls(spark, sf_dir):
+    """The list holds the URLs of pages that are full of noise; it blocks every page with such a canonical URL."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.filter(F.regexp_count("html", F.lit(NOISE)) >= NOISY).select("url")
+    return url_filter.judge(pages.select("page_id", "url"), URL_RULES, listed).drop("url")
+
+
 def op4_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -29,6 +41,24 @@ def op5_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_conversations(spark, sf_dir):
+    """Each conversation is a tree with one branch: a row replies to the row before it."""
+    added = spark.sql(r"""SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+                          FROM VALUES (0L, 'user'), (1L, 'assistant') AS added(turn, role)""")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    rows = rows.withColumn("tree", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    order = Window.partitionBy("tree").orderBy("turn", "role", "text")
+    numbered = staged(rows.withColumn("node", F.row_number().over(order).cast("long")), "turns")
+    replies = numbered.select("tree", "node", (F.col("node") - 1).alias("parent"), F.length("text").alias("score"), "role", "text")
+    found = reply_trees.conversations(replies).withColumn("turns", reply_trees.turns_of(F.col("formatted")))
+    plain = F.array_join(F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))), "")
+    learned = reply_trees.learned_text(F.col("formatted"), F.col("loss_mask"))
+    return found.withColumn("learned", learned).select(
+        F.expr("try_cast(tree AS bigint)").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(plain, 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op7_simhash(spark, sf_dir):
     rows = covering_simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,8 +76,10 @@ def op8_shuffle(spark, sf_dir):
 def queries():
     return {
         "op1_quality": op1_quality,
+        "op3_urls": op3_urls,
         "op4_packing": op4_packing,
         "op5_bpe": op5_bpe,
+        "op6_conversations": op6_conversations,
         "op7_simhash": op7_simhash,
         "op8_shuffle": op8_shuffle,
     }
@@ -91,7 +123,50 @@ FROM counted
 """
 
 
+URLS_SQL = r"""
+WITH parts AS (
+    SELECT page_id, html, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path, url LIKE '%://%' AS whole,
+           list_sort(list_filter(string_split(regexp_extract(url, '://[^?#]*[?]([^#]*)', 1), '&'),
+               lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$'))) AS parameters FROM pages),
+keyed AS (
+    SELECT *, CASE WHEN whole THEN regexp_replace(regexp_replace(host, '^(www|m)[.]', ''), ':(80|443)$', '')
+        || regexp_replace(path, '/+$', '') || CASE WHEN len(parameters) = 0 THEN '' ELSE '?' || array_to_string(parameters, '&') END
+        END AS canonical FROM parts),
+listed AS (
+    SELECT DISTINCT canonical FROM keyed WHERE canonical IS NOT NULL
+        AND len(regexp_extract_all(html, '[*]{3}|%{3}|#{3}|[$]{3}|(&amp;){3}')) >= 20),
+ruled AS (
+    SELECT page_id, host, path, canonical, CASE
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM keyed)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+CONVERSATIONS_SQL = r"""
+WITH added AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           len(regexp_extract_all(coalesce(text, ''), '\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS escapes FROM added),
+joined AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS plain,
+           coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text), '') AS learned,
+           sum(10 + length(url_encode(role)) + length(text) + escapes) AS formatted_chars FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(plain) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+
 def oracle_sql():
     return {
+        "op3_urls": URLS_SQL,
+        "op6_conversations": CONVERSATIONS_SQL,
         "op1_quality": QUALITY_SQL,
     }
