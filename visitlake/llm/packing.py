@@ -21,9 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from visitlake.llm.bpe import CHUNKS_KEPT, ChunkedText
+from visitlake.llm.bpe import ChunkedText
 
 TEXTS_AT_ONCE = 256
+CHUNKS_AT_ONCE = 128
+CHUNKS_KEPT = 400_000
 
 
 def differencing(sizes: list[int], ways: int) -> list[tuple[int, list[int]]]:
@@ -77,13 +79,25 @@ class LibraryIds:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True  # special strings are split off before
-        self.batch = lambda chunks: [np.array(found.ids, "<u4").tobytes()
-                                     for found in tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        self.tokenizer = tokenizer
         self.text = ChunkedText(spec, lambda chunk: self.batch([chunk])[0], chunks_kept)
 
+    def batch(self, chunks: list[str]) -> list[bytes]:
+        """Ids of single chunks. They are encoded many at once, with spaces between, and told apart by their places."""
+        found = []
+        for at in range(0, len(chunks), CHUNKS_AT_ONCE):
+            some = chunks[at:at + CHUNKS_AT_ONCE]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(chunk) + 1 for chunk in some)])
+            places = np.array([start for start, _ in encoded.offsets], np.int64)
+            cuts = (4 * np.searchsorted(places, starts)).tolist()
+            ids = np.array(encoded.ids, "<u4").tobytes()
+            found.extend(ids[begin:end] for begin, end in zip(cuts, cuts[1:]))
+        return found
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunked = [self.text.chunks(text) for text in texts]
-        unknown = [*self.text.table.unknown(chunk for chunks in chunked for chunk in chunks) - self.text.specials.keys()]
+        unknown = [*self.text.table.unknown(set().union(*chunked)) - self.text.specials.keys()]
         for chunk, ids in zip(unknown, self.batch(unknown)):
             self.text.table.add(chunk, ids)
         return [self.text.ids(chunks) for chunks in chunked]
