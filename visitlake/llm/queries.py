@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, covering_simhash, packing, quality_rules, reply_trees, two_pass_shuffle, url_filter
+from visitlake.llm import bpe, covering_simhash, dimension_scan, packing, quality_rules, reply_trees, two_pass_shuffle, url_filter
 from visitlake.session import scratch_folder, staged
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,10 @@ def op1_quality(spark, sf_dir):
     return judged.select("doc_id", *[f"quality.{name}" for name in names])
 
 
+def op2_nearest(spark, sf_dir):
+    return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 # Three equal symbols in a row, as in pages of noise; so many make a page's URL listed.
 NOISE, NOISY = r"[*]{3}|%{3}|#{3}|[$]{3}|(&amp;){3}", 20
@@ -76,6 +80,7 @@ def op8_shuffle(spark, sf_dir):
 def queries():
     return {
         "op1_quality": op1_quality,
+        "op2_nearest": op2_nearest,
         "op3_urls": op3_urls,
         "op4_packing": op4_packing,
         "op5_bpe": op5_bpe,
