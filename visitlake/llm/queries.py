@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, covering_simhash, dimension_scan, packing, quality_rules, reply_trees, two_pass_shuffle, url_filter
+from visitlake.llm import bpe, covering_simhash, dimension_scan, language_crf, packing, quality_rules, reply_trees, toxicity, two_pass_shuffle, url_filter
 from visitlake.session import scratch_folder, staged
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +77,25 @@ def op8_shuffle(spark, sf_dir):
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def fold(parts: int):
+    """The fold of a row: crc32 of its doc_id as text, modulo ``parts``; rows without id are in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts, F.lit(0))
+
+
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_crf.fit(docs, fold(4) != 2)
+    return language_crf.identify(docs, model).withColumn("held_out", fold(4) == 2).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def queries():
     return {
         "op1_quality": op1_quality,
@@ -87,6 +106,8 @@ def queries():
         "op6_conversations": op6_conversations,
         "op7_simhash": op7_simhash,
         "op8_shuffle": op8_shuffle,
+        "op9_toxicity": op9_toxicity,
+        "op10_language": op10_language,
     }
 
 
