@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LETTERS = re.compile(r"[^\W\d_]+")
 TABLE = 1 << 16
@@ -250,17 +251,21 @@ def labelled(texts: list[str | None], model: Model):
     return lists, found, counts
 
 
-def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id, ``lang_pred`` and ``score`` (0 to 1, the mean probability over all words) of every whole text.
+def with_language(docs: DataFrame, model: Model, column: str = "language", text_column: str = "text") -> DataFrame:
+    """All columns and a struct of ``lang_pred`` and ``score`` (0 to 1, the mean probability over all words) of each text.
 
     A missing or empty text and one without letters is ``und`` with score 0, and so is every text if the model knows no
-    language. Of equal languages the first by name wins. Repeated rows get equal results; other columns are left out.
+    language. Of equal languages the first by name wins. Repeated rows get equal results; a column named as the struct
+    is replaced.
     """
+    docs = docs.drop(column) if column in docs.columns else docs
+    at_text = docs.columns.index(text_column)
+
     def run(batches):
         for batch in batches:
             names, scores = [], []
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                _, found, counts = labelled(batch.column(1).slice(at, TEXTS_AT_ONCE).to_pylist(), model)
+                _, found, counts = labelled(batch.column(at_text).slice(at, TEXTS_AT_ONCE).to_pylist(), model)
                 sums = np.zeros((len(counts), found.shape[1]))
                 np.add.at(sums, np.repeat(np.arange(len(counts)), counts), found)
                 for total, count in zip(sums, counts):
@@ -271,11 +276,17 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
                     else:
                         names.append(UNKNOWN)
                         scores.append(0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
+            judged = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                                                names=["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, judged], names=[*batch.schema.names, column])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, lang_pred string, score double")
+    verdict = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, verdict)]))
+
+
+def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The id, ``lang_pred`` and ``score`` of every whole text, as in ``with_language``; other columns are left out."""
+    return with_language(docs.select(id_column, text_column), model, "_language", text_column).select(id_column, "_language.*")
 
 
 def label_words(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

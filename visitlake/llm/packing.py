@@ -25,7 +25,7 @@ from visitlake.llm.bpe import ChunkedText
 
 TEXTS_AT_ONCE = 256
 CHUNKS_AT_ONCE = 128
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 700_000
 
 
 def differencing(sizes: list[int], ways: int) -> list[tuple[int, list[int]]]:
@@ -97,10 +97,18 @@ class LibraryIds:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunked = [self.text.chunks(text) for text in texts]
-        unknown = [*self.text.table.unknown(set().union(*chunked)) - self.text.specials.keys()]
+        table = self.text.table
+        # One look-up for each chunk; what the table lacks is filled in at its place.
+        found = [[*map(table.get, chunks)] for chunks in chunked]
+        gaps = [[place for place, ids in enumerate(parts) if ids is None] for parts in found]
+        lacking = {chunks[place] for chunks, places in zip(chunked, gaps) for place in places} - self.text.specials.keys()
+        unknown = [*table.unknown(lacking)]
         for chunk, ids in zip(unknown, self.batch(unknown)):
-            self.text.table.add(chunk, ids)
-        return [self.text.ids(chunks) for chunks in chunked]
+            table.add(chunk, ids)
+        for chunks, parts, places in zip(chunked, found, gaps):
+            for place in places:
+                parts[place] = table[chunks[place]]
+        return [b"".join(parts) for parts in found]
 
 
 @lru_cache(maxsize=1)
