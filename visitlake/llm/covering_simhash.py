@@ -112,9 +112,12 @@ def links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     ``nodes`` has ``node`` (a number, once in the table) and ``prints``, an array of fingerprints. Places are compared
     one by one: the first fingerprint of one node with the first of another, and so on.
     """
+    places = _places(nodes)
+    if not places:
+        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     tables = [F.struct(F.xxhash64(F.lit(place), F.lit(number), print_.bitwiseAND(F.lit(mask))).alias("bucket"),
                        print_.alias("fingerprint"))
-              for place, print_ in enumerate(F.col("prints")[place] for place in range(_places(nodes)))
+              for place, print_ in enumerate(F.col("prints")[place] for place in range(places))
               for number, mask in enumerate(masks(radius))]
     members = nodes.select("node", F.inline(F.array(*tables)))
     # A count of each bucket comes first: nearly all members are alone in theirs and go no further.
@@ -278,8 +281,8 @@ def _similar(clusters: DataFrame, texts: DataFrame, similarity: float, tile: int
 
 def _first_rows(docs: DataFrame, kept: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """One row of ``docs`` for each kept key (missing id, id, text hash)."""
-    named = docs.withColumn("_text", F.xxhash64(text_column))
-    wanted = kept.select(F.col("id").alias("_id"), F.col("text").alias("_kept"))
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_kept"))
+    named = docs.withColumn("__text", F.xxhash64(text_column))
+    wanted = kept.select(F.col("id").alias("__kept_id"), F.col("text").alias("__kept_text"))
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__kept_id")) & (F.col("__text") == F.col("__kept_text"))
     matched = named.join(wanted, same, "left_semi")
-    return matched.dropDuplicates([id_column, "_text"]).drop("_text")
+    return matched.dropDuplicates([id_column, "__text"]).drop("__text")

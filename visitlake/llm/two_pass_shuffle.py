@@ -29,16 +29,17 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = 16, bucket_bytes
     key = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
     bucket = F.pmod(key, F.lit(buckets)).alias("bucket")
     offsets = _offsets(docs.select(bucket).groupBy("bucket").agg(F.count("*").alias("rows")))
-    row = F.struct(key.alias("key"), F.struct(*docs.columns).alias("row"))
+    # Rows stay nested until they are written, so their columns may have any names.
+    row = F.struct(key.alias("key"), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
     packed = docs.select(bucket, row.alias("entry")).groupBy("bucket").agg(F.collect_list("entry").alias("entries"))
     steady = F.when(F.size("entries") == F.col("rows"), F.sort_array("entries")).otherwise(
         F.raise_error(F.lit("the input gave other rows when it was read again")))
     placed = (packed.join(offsets, "bucket").select("offset", F.posexplode(F.shuffle(steady, seed)))
-              .select((F.col("offset") + F.col("pos")).alias("place"), "col.row.*"))
+              .select((F.col("offset") + F.col("pos")).alias("place"), F.col("col.row").alias("row")))
     shard = F.expr(f"place * {shards}L div {max(rows, 1)}L")
-    (placed.withColumn("shard", shard.cast("int"))
-     .withColumn("slot", F.expr(f"place - (shard * {rows}L + {shards - 1}L) div {shards}L"))
-     .drop("place").write.partitionBy("shard").parquet(path))
+    slot = F.expr(f"place - (shard * {rows}L + {shards - 1}L) div {shards}L")
+    (placed.withColumn("shard", shard.cast("int")).withColumn("slot", slot).select("row.*", "slot", "shard")
+     .write.partitionBy("shard").parquet(path))
 
 
 def read_shards(spark: SparkSession, path: str, schema) -> DataFrame:
