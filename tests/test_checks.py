@@ -61,7 +61,7 @@ def test_profile_and_constancy(spark):
     plain = to_plain_columns(raw_frame(spark, rows))
     profile = dict(rows_of(quality.dataset_profile(plain), "metric", "value"))
     assert (profile["rows"], profile["nulls"], profile["duplicate_rows"], profile["visits"]) == (5, 1, 1, 2)
-    assert (profile["longest_visit"], profile["median_visit"], profile["days"]) == (3, 2, 1)
+    assert (profile["longest_visit"], profile["median_visit"], profile["days"]) == (3, 2.5, 1)
     assert (profile["distinct_product_code"], profile["distinct_price_usd"], profile["distinct_country_code"]) == (1, 2, 2)
     assert rows_of(quality.constancy_violations(plain), "key", "attribute", "distinct_values") == [
         ("2", "country_code", 2), ("A13", "price_usd", 2)]

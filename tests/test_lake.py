@@ -124,6 +124,56 @@ def test_writer_follows_the_table_columns(spark, lake):
         tables.write_months_to_table(spark.table(table).drop("weekend_click"), table)
 
 
+def land(spark, lake, month, rows):
+    raw_frame(spark, rows).coalesce(1).write.option("sep", ";").option("header", True).csv(f"{lake.landing}/source_month={month}")
+
+
+def test_stray_row_is_rejected_and_leaves_its_own_month_alone(spark, lake):
+    land(spark, lake, "2008-05", [click(20, number, month=5) for number in range(1, 6)])
+    lakes.run_new_files(spark, lake, RUN)
+    land(spark, lake, "2008-04", APRIL + [click(21, 1, month=5)])
+    report = dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))
+    assert months(spark, lake.tables.clicks) == {"2008-04": 10, "2008-05": 5}
+    assert rows_of(spark.table(lake.tables.rejected), "visit_id", "rejection_reason", "source_month") == [
+        (21, S.OTHER_MONTH, "2008-04")]
+    assert (report["source_rows"], report["bronze_rows"], report["silver_clicks"], report["rejected_rows"]) == (11, 11, 10, 1)
+    assert (report["deleted_visits_removed"], report["unaccounted"]) == (0, 0)
+
+
+def test_run_stops_before_writing_months_it_was_not_given(spark, lake):
+    run(spark, lake, AUGUST)
+    with pytest.raises(lakes.UnreadMonthError, match="2008-08"):
+        lakes.run_increment(spark, raw_frame(spark, APRIL + [click(30, 1, month=8)]), lake, RUN, ["2008-04"])
+    assert months(spark, lake.tables.clicks) == {"2008-08": 3}
+
+
+def test_erased_visits_are_left_nowhere_however_they_are_written(spark, lake, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("visitlake.session._run_folders", [f"file://{shared}"])
+    header = ";".join(S.SOURCE_TO_PLAIN)
+    line = "2008;4;{day};1;29;{visit};1;A13;1;5;1;28;2;1"
+    lines = [line.format(day=n, visit=visit) for n, visit in enumerate(["42", "042", " 42", '"42"', "421", "7"], 1)]
+    (tmp_path / "landing" / "source_month=2008-04").mkdir(parents=True)
+    (tmp_path / "landing" / "source_month=2008-04" / "a.csv").write_text("\n".join([header, *lines]))
+    lakes.run_new_files(spark, lake, RUN)
+    lakes.erase_visits(spark, lake, spark.createDataFrame([(42,)], "visit_id bigint"), RUN, "request")
+    kept = sorted(row.value for row in spark.read.text(f"{lake.landing}/source_month=2008-04").collect())
+    assert kept == sorted([header, lines[4], lines[5]])
+    places = [spark.table(name) for name in (lake.tables.clicks, lake.tables.rejected, lake.tables.gold_clicks, lake.tables.gold_visits)]
+    assert [place.filter("visit_id = 42").count() for place in places] == [0] * 4
+    assert not [path for path in shared.rglob("*") if path.is_file()]
+
+
+def test_mixed_headers_stop_an_erasure(spark, lake, tmp_path):
+    folder = tmp_path / "landing" / "source_month=2008-04"
+    folder.mkdir(parents=True)
+    header = list(S.SOURCE_TO_PLAIN)
+    for name, names in (("a", header), ("b", header[::-1])):
+        (folder / f"{name}.csv").write_text(";".join(names) + "\n")
+    with pytest.raises(landing.LandingError, match="share one header"):
+        landing.erase_visit_lines(spark, lake.landing, ["2008-04"], spark.createDataFrame([(1,)], "visit_id bigint"))
+
+
 def test_listed_visit_stays_out_and_others_are_identical(spark, lake):
     run(spark, lake, APRIL)
     before = {name: spark.table(table).collect() for name, table in
@@ -131,7 +181,7 @@ def test_listed_visit_stays_out_and_others_are_identical(spark, lake):
     entry = spark.sql("SELECT 3L AS visit_id, TIMESTAMP_NTZ '2024-09-02 00:00:00' AS deleted_time, 'x' AS reason, 'y' AS bronze_key")
     tables.fit_to_table(entry, lake.tables.deleted_visits).write.insertInto(lake.tables.deleted_visits)
     rerun = run(spark, lake, APRIL)
-    assert (rerun["deleted_visits_removed"], rerun["total_silver_clicks"]) == (2, 8)
+    assert (rerun["deleted_visits_removed"], rerun["total_silver_clicks"], rerun["unaccounted"]) == (2, 8, 0)
     for name, table in (("clicks", lake.tables.clicks), ("visits", lake.tables.gold_visits)):
         after = spark.table(table).collect()
         assert sorted(after) == sorted(row for row in before[name] if row.visit_id != 3)
@@ -143,7 +193,7 @@ def test_land_run_and_erase(spark, lake, tmp_path):
     report = landing.land_months(spark, source, lake.landing, ["2008-04", "2008-08"], FIRST)
     assert [tuple(row) for row in report.collect()] == [("2008-04", 12, "written"), ("2008-08", 3, "written")]
     again = landing.land_months(spark, source, lake.landing, ["2008-04"], FIRST)
-    assert [tuple(row) for row in again.collect()] == [("2008-04", 12, "skipped (same source file)")]
+    assert [tuple(row) for row in again.collect()] == [("2008-04", 12, "already landed")]
     first = dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))
     assert (first["rejected_rows"], first["silver_clicks"]) == (2, 13)
     assert "status: no new source files" in dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from visitlake import functions as fn
 
-ACCOUNT = "1234567" + "89012"
+ACCOUNT = "123456789012"
 
 
 def masked(spark, text, expression=fn.mask_text):

@@ -1,9 +1,12 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from check_oracles import connect, difference
 
 import __spark_entry__ as driver
+from visitlake.plans import queries as registered
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="the driver's tables are not here")
@@ -26,8 +29,20 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_sql_belongs_to_a_query():
-    without = set(driver.queries()) - set(driver.oracle_sql())
-    assert set(driver.oracle_sql()) <= set(driver.queries()) and without == {"files_for_month", "mask_visit"}
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(registered.queries()) <= set(driver.oracle_sql())
+
+
+def test_queries_are_listed_without_a_session():
+    code = "import __spark_entry__ as driver; assert driver.queries() and driver.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(driver.__file__).parent, check=True)
+
+
+def test_bronze_is_read_once_for_silver(spark):
+    """Bronze is scanned, and resends are removed, for the staged rows only; the outputs read those."""
+    for name in ("silver_clicks", "rejected_clicks", "category_mismatches", "remove_deleted_visits", "counts_without_visit"):
+        plan = plan_of(driver.queries()[name](spark, SMALL))
+        assert "/bronze-" not in plan and "WindowGroupLimit" not in plan, name
 
 
 def test_entry(spark):

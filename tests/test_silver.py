@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from visitlake import schemas as S
 from visitlake.operators import rules
 from visitlake.operators.resends import count_resends, remove_resends
-from visitlake.operators.silver import add_weekend_click, build_silver, judge
+from visitlake.operators.silver import add_weekend_click, build_silver
 from visitlake.sources.raw_clicks import append_resends
 
 
@@ -194,8 +194,7 @@ def test_rules_equal_brute_force(spark, seed, bits):
     bronze = spark.createDataFrame([tuple(row.values()) for row in rows], S.BRONZE_SCHEMA)
     expected = expected_reasons(rows)
     assert reasons(rules.with_rejection_reason(bronze)) == expected
-    problems = rules.find_problems(*judge(bronze), bits=bits)
-    found = build_silver(bronze, RUN, problems)
+    found = build_silver(bronze, RUN, bits)
     assert reasons(found.rejected) == [row for row in expected if row[2]]
     assert rows_of(found.clicks, "visit_id", "click_number_in_visit") == sorted(
         row[:2] for row in expected if not row[2])
@@ -206,10 +205,9 @@ def test_one_visit_with_most_rows(spark):
     """A visit far longer than a piece, clean, and one with a single late click in another piece."""
     rows = [click(1, number) for number in range(1, 200)] + [click(2, 1)]
     bronze = bronze_frame(spark, rows)
-    problems = rules.find_problems(*judge(bronze), bits=3)
-    assert problems.count() == 0
+    assert build_silver(bronze, RUN, bits=3).problems.count() == 0
     late = bronze.withColumn("click_time_synthetic", F.when(
         F.col("click_id") == "uci553-1-152", F.col("click_time_synthetic") - F.expr("INTERVAL 600 SECONDS"))
         .otherwise(F.col("click_time_synthetic")))
-    found = rules.find_problems(*judge(late), bits=3)
+    found = build_silver(late, RUN, bits=3).problems
     assert rows_of(found, "click_number_in_visit", "not_later") == [(152, True)]

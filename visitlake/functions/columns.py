@@ -26,10 +26,13 @@ def month_of(date: Column | str) -> Column:
 
 
 def source_month(year="year", month="month") -> Column:
-    """Month partition of a raw row. A row without year or month goes to one named partition."""
+    """Month partition of a raw row. Years of other than four digits and months beyond 13 go to one named partition.
+
+    A month 13 is kept as it is: such rows are known to occur and stay apart from rows that say nothing.
+    """
     year, month = _col(year), _col(month)
-    return F.when(year.isNotNull() & month.isNotNull(), F.format_string("%04d-%02d", year, month)).otherwise(
-        F.lit(S.UNKNOWN_MONTH))
+    known = year.between(1000, 9999) & month.between(1, 13)
+    return F.when(known, F.format_string("%04d-%02d", year, month)).otherwise(F.lit(S.UNKNOWN_MONTH))
 
 
 def shop_local_time(utc: Column | str) -> Column:

@@ -15,8 +15,8 @@ VERSION_ID = (r"(?<![A-Za-z0-9._+/-])(?=[A-Za-z0-9._+]*[0-9])(?=[A-Za-z0-9._+]*[
 VISIT_FIELD = r"""("visit_id"\s*:\s*)("[^"]*"|-?[0-9.]+)"""
 VISIT_LABEL = "visit A"
 
-# Stands around a bucket's role between the two replacement steps; never present in the input of the second one.
-_MARK = ""
+# Stands around a bucket's role between the two replacement steps; taken out of the text before the first one.
+_MARK = "\ue000"
 
 
 def _where(text: Column, has: Column, masked: Column) -> Column:
@@ -26,7 +26,7 @@ def _where(text: Column, has: Column, masked: Column) -> Column:
 
 def mask_buckets(text: Column) -> Column:
     """Generated bucket names become their role. One pass finds them, so a name is never matched twice."""
-    masked = F.regexp_replace(text, BUCKET, f"{_MARK}$1{_MARK}")
+    masked = F.regexp_replace(F.translate(text, _MARK, ""), BUCKET, f"{_MARK}$1{_MARK}")
     for role, label in BUCKET_ROLES.items():
         masked = F.regexp_replace(masked, f"(?iu){_MARK}{role}{_MARK}", f"<{label}-bucket>")
     return _where(text, F.lower(text).contains("bucket-"), masked)
@@ -60,8 +60,8 @@ def mask_visit(text: Column | str, visit: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     visit = F.col(visit) if isinstance(visit, str) else visit
     masked = mask_versions(mask_text(text))
-    pattern = F.concat(F.lit("(uci553-)"), visit.cast("string"), F.lit("(-)"))
-    return F.regexp_replace(masked, pattern, F.lit(f"$1{VISIT_LABEL}$2"))
+    of_visit = F.concat(F.lit("uci553-"), visit.cast("string"), F.lit("-"))
+    return F.replace(masked, of_visit, F.lit(f"uci553-{VISIT_LABEL}-"))
 
 
 def mask_visit_fields(json_text: Column | str) -> Column:

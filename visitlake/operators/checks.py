@@ -37,12 +37,10 @@ def pick_visit(clicks: DataFrame, seed: int, excluded_month: str) -> DataFrame:
             .select("visit_id", "click_month"))
 
 
-def check(name: str, expected: DataFrame | Column, actual: DataFrame) -> DataFrame:
+def check(name: str, expected: Column, actual: DataFrame) -> DataFrame:
     """One release check. ``actual`` has at most one row with column ``value``; no row means the fact is missing."""
     fact = actual.select(F.col("value").cast("string").alias("value"))
-    wanted = expected.cast("string") if isinstance(expected, Column) else None
-    if wanted is None:
-        raise TypeError("expected must be a column; use check_equal for two frames")
+    wanted = expected.cast("string")
     found = fact.agg(F.max("value").alias("actual"))
     return found.select(F.lit(name).alias("check"), wanted.alias("expected"), "actual",
                         F.coalesce(wanted == F.col("actual"), F.lit(False)).alias("pass"))

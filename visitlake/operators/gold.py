@@ -1,6 +1,6 @@
 """Gold: click and visit grain, products and calendar days."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
@@ -11,45 +11,28 @@ def build_gold_clicks(clicks: DataFrame) -> DataFrame:
     return clicks.select(S.GOLD_CLICK_COLUMNS)
 
 
-def _position(labels, column: str) -> Column:
-    """Place of a label in its code table from 1, 0 when it is not there."""
-    names = ", ".join(f"'{label}'" for label in labels)
-    return F.expr(f"array_position(array({names}), {column})").cast("int")
-
-
 def build_visits(clicks: DataFrame) -> DataFrame:
     """One row per visit.
 
-    Clicks are combined per visit and product first, which spreads a very long visit over the tasks and makes the
-    distinct products a plain count afterwards. That first step keeps only fixed-width values (labels as their place in
-    the code table), so it runs as a hash aggregation. Categories come from a closed code table: four bits tell which
-    of them a visit saw. A device outside the code table stays a key of the first step.
+    Clicks are combined per visit, product, category and device first, which spreads a very long visit over the tasks.
+    That step aggregates only fixed-width values, so it runs as a hash aggregation, and labels may be any text.
     """
-    number, devices = "click_number_in_visit", list(S.DEVICE_WEIGHTS)
-    device = _position(devices, "device_type_synthetic")
-    seen = F.bit_or(F.expr("shiftleft(1L, _category)"))
-    per_product = clicks.withColumns({
-        "_device": device,
-        "_category": _position(S.CATEGORIES.values(), "category"),
-        "_other_device": F.when(device == 0, F.col("device_type_synthetic")),
-    }).groupBy("visit_id", "product_code", "_other_device").agg(
+    number = "click_number_in_visit"
+    parts = clicks.groupBy("visit_id", "product_code", "category", "device_type_synthetic").agg(
         F.min(number).alias("first_number"), F.max(number).alias("last_number"),
         F.min_by("click_date", number).alias("date"), F.min_by("country_code", number).alias("country"),
-        F.min_by("_device", number).alias("device"), F.min("click_time_synthetic").alias("start"),
-        F.max("click_time_synthetic").alias("end"), F.count("click_id").alias("clicks"),
-        F.max("page_number_in_shop").alias("deepest"), seen.alias("categories"))
-    visits = per_product.groupBy("visit_id").agg(
-        F.min(F.struct("first_number", "date", "country", "device", "_other_device", "product_code")).alias("first"),
+        F.min("click_time_synthetic").alias("start"), F.max("click_time_synthetic").alias("end"),
+        F.count("click_id").alias("clicks"), F.max("page_number_in_shop").alias("deepest"))
+    visits = parts.groupBy("visit_id").agg(
+        F.min(F.struct("first_number", "date", "country", "device_type_synthetic", "product_code")).alias("first"),
         F.max(F.struct("last_number", "product_code")).alias("last"),
         F.min("start").alias("visit_start_time_synthetic"), F.max("end").alias("visit_end_time_synthetic"),
-        F.sum("clicks").alias("clicks_in_visit"), F.count("product_code").alias("products_viewed"),
-        F.bit_count(F.bit_or("categories")).cast("bigint").alias("categories_viewed"),
-        F.max("deepest").alias("deepest_page_reached"))
-    label = F.get(F.array(*map(F.lit, devices)), F.col("first.device") - 1)
+        F.sum("clicks").alias("clicks_in_visit"), F.count_distinct("product_code").alias("products_viewed"),
+        F.count_distinct("category").alias("categories_viewed"), F.max("deepest").alias("deepest_page_reached"))
     return visits.withColumns({
         "visit_date": F.col("first.date"),
         "country_code": F.col("first.country"),
-        "device_type_synthetic": F.coalesce("first._other_device", label),
+        "device_type_synthetic": F.col("first.device_type_synthetic"),
         "visit_length_seconds_synthetic": seconds_between("visit_start_time_synthetic", "visit_end_time_synthetic"),
         "bounced": F.col("clicks_in_visit") == 1,
         "first_product_viewed": F.col("first.product_code"),

@@ -57,23 +57,28 @@ def quality_counts(source: DataFrame, bronze: DataFrame, duplicates_removed: Dat
 def dataset_profile(clicks: DataFrame) -> DataFrame:
     """Profile of a plain click table as ``metric, value`` rows: sizes, missing values, repeats, visits, distinct values.
 
-    Each column's distinct values are counted from a pre-aggregated (column, value) list, so all columns share one
-    shuffle and a value that fills the table costs one row per task.
+    Everything comes from two pre-aggregated lists: rows per distinct row, and rows per (column, value). A value or a row
+    that fills the table costs one row per task in either; values are double, as a median may lie between two counts.
     """
     names = [name for name in S.PLAIN_COLUMNS if name in clicks.columns]
-    texts = clicks.select([F.col(name).cast("string").alias(name) for name in names])
-    values = texts.unpivot([], names, "column", "item").groupBy("column", "item").agg(F.count("*").alias("rows"))
-    distinct = (values.groupBy("column").agg(F.count("item").alias("value"))
-                .select(F.concat(F.lit("distinct_"), "column").alias("metric"), "value"))
-    sizes = metric(values, rows=F.sum("rows") / len(names), nulls=F.sum(F.when(F.col("item").isNull(), F.col("rows"))))
-    repeats = metric(clicks.groupBy(*names).agg(F.count("*").alias("copies")), duplicate_rows=F.sum(F.col("copies") - 1))
-    lengths = (clicks.filter("visit_id IS NOT NULL").groupBy("visit_id").agg(F.count("*").alias("clicks"))
-               .groupBy("clicks").agg(F.count("*").alias("visits")))
+    rows = clicks.groupBy(*names).agg(F.count("*").alias("copies"))
+    texts = rows.select("copies", *[F.col(name).cast("string").alias(name) for name in names])
+    values = texts.unpivot(["copies"], names, "column", "item").groupBy("column", "item").agg(F.sum("copies").alias("rows"))
+    of_column = values.groupBy("column").agg(
+        F.count("item").alias("distinct"), F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("item").isNull(), F.col("rows")).otherwise(0)).alias("nulls"))
+    distinct = of_column.select(F.concat(F.lit("distinct_"), "column").alias("metric"), F.col("distinct").alias("value"))
+    sizes = metric(of_column, rows=F.max("rows"), nulls=F.sum("nulls"))
+    repeats = metric(rows, duplicate_rows=F.sum(F.col("copies") - 1))
+    lengths = (values.filter((F.col("column") == "visit_id") & F.col("item").isNotNull())
+               .groupBy(F.col("rows").alias("clicks")).agg(F.count("*").alias("visits")))
     visits = metric(lengths, visits=F.sum("visits"), longest_visit=F.max("clicks"),
-                    median_visit=F.percentile("clicks", 0.5, F.col("visits")),
                     one_click_visits=F.sum(F.when(F.col("clicks") == 1, F.col("visits"))))
-    days = metric(clicks.select("year", "month", "day").distinct(), days=F.count("*"))
-    return reduce(DataFrame.unionByName, [sizes, repeats, visits, days, distinct])
+    median = lengths.agg(F.percentile("clicks", 0.5, F.col("visits")).alias("value")).select(
+        F.lit("median_visit").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    days = metric(rows.select("year", "month", "day").distinct(), days=F.count("*"))
+    counts = reduce(DataFrame.unionByName, [sizes, repeats, visits, days, distinct])
+    return counts.withColumn("value", F.col("value").cast("double")).unionByName(median)
 
 
 def constancy_violations(clicks: DataFrame) -> DataFrame:

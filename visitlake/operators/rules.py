@@ -1,7 +1,7 @@
 """Quality rules: the first failing rule is the recorded reason, and one failing click rejects its whole visit.
 
 A rule that cannot be decided counts as failed. The rules come in this order: required fields, real date, seven code
-ranges, contiguous click numbers, time on the real date, increasing time, another click of the visit rejected.
+ranges, the landing month where there is one, contiguous click numbers, time on the real date, increasing time, another click of the visit rejected.
 
 Rules about one row are plain expressions. Rules about neighbours look at one piece of a visit at a time
 (``sequence``), on four narrow columns. What a visit needs to know about its other clicks is the short list of failing
@@ -17,6 +17,7 @@ from visitlake.functions import real_date, shop_local_time
 from visitlake.operators.resends import has_identity
 from visitlake.operators.sequence import PIECE_BITS, with_previous_click
 
+
 def range_reason(column: str) -> str:
     low, high = S.CODE_RANGES[column]
     return f"{column} outside {low}-{high}"
@@ -36,7 +37,10 @@ def with_row_rules(clicks: DataFrame) -> DataFrame:
     ``_real_date``; ``_row_reason`` from the rules before the contiguity rule; ``_off_date`` from the rule about the
     time's date; ``_row_fails`` when any of them fails, so that narrow steps can leave the reason's text behind.
     """
-    branches = " ".join(f"WHEN coalesce({failed}, TRUE) THEN '{reason}'" for reason, failed in row_rules())
+    rules = row_rules()
+    if "source_month" in clicks.columns:
+        rules.append((S.OTHER_MONTH, "date_format(_real_date, 'yyyy-MM') <> source_month"))
+    branches = " ".join(f"WHEN coalesce({failed}, TRUE) THEN '{reason}'" for reason, failed in rules)
     reason = F.expr(f"CASE {branches} END")
     off_date = F.coalesce(F.to_date(shop_local_time("click_time_synthetic")) != F.col("_real_date"), F.lit(True))
     return clicks.withColumn("_real_date", real_date()).withColumns({

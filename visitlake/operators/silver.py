@@ -8,26 +8,33 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 from visitlake.functions import decode, is_weekend, month_of, seconds_between, shop_local_time, source_month
-from visitlake.operators.resends import count_resends, keep_earliest, without_identity
+from visitlake.operators.resends import has_identity, remove_resends
 from visitlake.operators.rules import (
     failing_visits, find_problems, late_clicks, reason_of_joined_row, with_row_rules,
 )
+from visitlake.operators.sequence import PIECE_BITS
+from visitlake.session import staged
 from visitlake.sources.raw_clicks import utc_literal
 
 
 class Silver:
-    """Clean clicks, rejects and the number of resends of a Bronze frame, each built when it is asked for."""
+    """Clean clicks, rejects and the number of resends of a Bronze frame, each built when it is asked for.
 
-    def __init__(self, bronze: DataFrame, run_time: datetime, problems: DataFrame | None = None):
-        self._bronze, self._run_time, self._problems = bronze, run_time, problems
+    The rows left without resends are written to the scratch folder with their findings, and so are the failing clicks.
+    All outputs read those: Bronze is read once and resends are removed once, however many outputs follow.
+    """
+
+    def __init__(self, bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS):
+        self._bronze, self._run_time, self._bits = bronze, run_time, bits
 
     @cached_property
     def _judged(self) -> tuple[DataFrame, DataFrame]:
-        return judge(self._bronze)
+        rows = staged(judge(self._bronze), "judged")
+        return rows.filter(has_identity()), rows.filter(~has_identity())
 
     @cached_property
     def problems(self) -> DataFrame:
-        return problems_of(self._bronze) if self._problems is None else self._problems
+        return staged(find_problems(*self._judged, self._bits), "problems")
 
     @cached_property
     def clicks(self) -> DataFrame:
@@ -39,30 +46,24 @@ class Silver:
 
     @cached_property
     def duplicates_removed(self) -> DataFrame:
-        return count_resends(self._bronze)
-
-
-def judge(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with their own findings: the earliest copies of clicks, and rows without a full identity.
-
-    The findings are taken before resends are removed, so later steps can drop the raw code columns early.
-    """
-    judged = with_row_rules(bronze)
-    return keep_earliest(judged), without_identity(judged)
+        """One row: ``duplicates_removed``."""
+        left = self._judged[0].agg(F.count("*").alias("rows")).unionByName(self._judged[1].agg(F.count("*").alias("rows")))
+        counted = self._bronze.agg(F.count("*").alias("rows")).unionByName(left.select((-F.col("rows")).alias("rows")))
+        return counted.agg(F.sum("rows").alias("duplicates_removed"))
 
 
-def problems_of(bronze: DataFrame) -> DataFrame:
-    """The failing clicks of a Bronze frame (see ``find_problems``). Stage it when several outputs follow."""
-    return find_problems(*judge(bronze))
+def judge(bronze: DataFrame) -> DataFrame:
+    """Rows with their own findings: the earliest copies of clicks, and rows without a full identity."""
+    return remove_resends(with_row_rules(bronze))
 
 
-def build_silver(bronze: DataFrame, run_time: datetime, problems: DataFrame | None = None) -> Silver:
-    """Bronze to clean clicks and rejects. ``problems`` may be handed in when it was staged before."""
-    return Silver(bronze, run_time, problems)
+def build_silver(bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS) -> Silver:
+    """Bronze to clean clicks and rejects. ``bits`` is the size of the pieces that ordered rules look at."""
+    return Silver(bronze, run_time, bits)
 
 
 def clean_clicks(clicks: DataFrame, problems: DataFrame) -> DataFrame:
-    """Clicks of visits without any failing click, decoded. One full-width shuffle: the one that removes resends."""
+    """Clicks of visits without any failing click, decoded."""
     passing = clicks.join(failing_visits(problems).select("visit_id"), "visit_id", "left_anti")
     local = shop_local_time("click_time_synthetic")
     return passing.withColumns({

@@ -10,7 +10,7 @@ from visitlake import schemas as S
 from visitlake.functions import source_month
 from visitlake.operators import rollups
 from visitlake.operators.gold import build_calendar_days, build_gold_clicks, build_visits, products_from_counts
-from visitlake.operators.silver import Silver, build_silver, problems_of
+from visitlake.operators.silver import Silver, build_silver
 from visitlake.operators.synthetic import add_synthetic_fields
 from visitlake.session import staged
 from visitlake.sources.raw_clicks import add_arrival, to_plain_columns
@@ -40,12 +40,12 @@ def build_increment(raw: DataFrame, received_time: datetime, run_time: datetime
                     seed: int = S.DEFAULT_SEED) -> Increment:
     """Frames of every layer for the months of the raw rows.
 
-    Bronze and the list of failing clicks feed several outputs, so both are written to the scratch folder once. A
-    landing month in the raw rows is carried along.
+    Bronze feeds several outputs, so it is written to the scratch folder once. A landing month in the raw rows is carried
+    along, and a row of another month is rejected.
     """
     source = to_plain_columns(raw, keep=("source_month",) if "source_month" in raw.columns else ())
     bronze = staged(build_bronze(source, received_time, seed), "bronze")
-    silver = build_silver(bronze, run_time or received_time, staged(problems_of(bronze), "problems"))
+    silver = build_silver(bronze, run_time or received_time)
     return Increment(source, bronze, source_months(bronze), silver,
                      build_gold_clicks(silver.clicks), build_visits(silver.clicks))
 

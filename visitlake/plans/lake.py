@@ -3,6 +3,7 @@
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,9 @@ from visitlake.operators import rollups
 from visitlake.operators.erasure import deleted_visit_ids, remove_deleted_visits
 from visitlake.operators.gold import build_gold_clicks, build_visits
 from visitlake.operators.quality import category_mismatches, metric, rejections_by_reason
-from visitlake.operators.resends import count_resends
 from visitlake.operators.silver import add_weekend_click
-from visitlake.plans.increment import build_increment, build_whole_dataset, month_filter
-from visitlake.session import staged
+from visitlake.plans.increment import Increment, build_increment, build_whole_dataset, month_filter
+from visitlake.session import run_scratch, staged
 from visitlake.sources.landing import erase_visit_lines
 from visitlake.sources.ledger import mark_processed, new_files, touched_months
 from visitlake.sources.raw_clicks import read_raw_clicks, to_plain_columns, utc_literal
@@ -36,41 +36,52 @@ class Lake:
     ledger: str
 
 
+class UnreadMonthError(Exception):
+    """Rows belong to a month that the run did not read whole."""
+
+
 def run_new_files(spark: SparkSession, lake: Lake, run_time: datetime, seed: int = S.DEFAULT_SEED) -> DataFrame:
     """Process landed files that are new or rewritten. The ledger moves forward only after every write succeeded."""
-    files = staged(new_files(spark, lake.landing, lake.ledger), "new-files")
-    months = touched_months(files)
-    if not months:
-        return _status(spark, "no new source files")
-    report = run_increment(spark, read_raw_clicks(spark, lake.landing, months), lake, run_time, months, seed)
-    mark_processed(files, lake.ledger)
-    return report
+    with run_scratch(spark):
+        files = staged(new_files(spark, lake.landing, lake.ledger), "new-files")
+        months = touched_months(files)
+        if not months:
+            return _nothing_new(spark)
+        report = run_increment(spark, read_raw_clicks(spark, lake.landing, months), lake, run_time, months, seed)
+        mark_processed(files, lake.ledger)
+        return report
 
 
 def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: datetime,
                   months: list[str] | None = None, seed: int = S.DEFAULT_SEED) -> DataFrame:
     """Replace the months of the raw rows in every layer, rebuild the whole-dataset tables and report.
 
-    The frame must hold whole months. A month that ends up empty in a layer is removed there.
+    The frame must hold whole months, and only those months are written. A row whose date lies outside its landing month
+    becomes a reject; if rows without a landing month lie outside the given months, the run stops before it writes. A
+    month that ends up empty in a layer is removed there. Everything staged on the way is removed at the end.
     """
-    if not raw.columns or raw.isEmpty():
-        return _status(spark, "no new source files")
-    tables = lake.tables
-    increment = build_increment(raw, run_time, seed=seed)
-    silver = increment.silver
-    months = months or sorted(row[0] for row in increment.source_months.collect())
-    deleted = deleted_visit_ids(spark.table(tables.deleted_visits))
-
-    clicks = add_weekend_click(remove_deleted_visits(silver.clicks, deleted))
-    rejected = remove_deleted_visits(silver.rejected, deleted)
-    together(lambda: replace_months_in_table(clicks, tables.clicks, months, CLICK_ORDER),
-             lambda: replace_months_in_table(rejected, tables.rejected, months, CLICK_ORDER))
-    refresh_gold(spark, lake, months)
-
-    written_clicks = month_filter(spark.table(tables.clicks), "click_month", months)
-    written_rejects = month_filter(spark.table(tables.rejected), "source_month", months)
-    written_visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
-    return run_report(spark, lake, increment.bronze, written_clicks, written_rejects, written_visits, months)
+    with run_scratch(spark):
+        if not raw.columns or raw.isEmpty():
+            return _nothing_new(spark)
+        tables = lake.tables
+        increment = build_increment(raw, run_time, seed=seed)
+        silver = increment.silver
+        months = months or sorted(row[0] for row in increment.source_months.collect())
+        deleted = deleted_visit_ids(spark.table(tables.deleted_visits))
+        clicks = add_weekend_click(remove_deleted_visits(silver.clicks, deleted))
+        rejected = remove_deleted_visits(silver.rejected, deleted)
+        _stop_at_unread_months(clicks, "click_month", months)
+        _stop_at_unread_months(rejected, "source_month", months)
+        together(lambda: replace_months_in_table(clicks, tables.clicks, months, CLICK_ORDER),
+                 lambda: replace_months_in_table(rejected, tables.rejected, months, CLICK_ORDER))
+        refresh_gold(spark, lake, months)
+        return run_report(spark, lake, raw, increment, deleted, months)
+
+
+def _stop_at_unread_months(rows: DataFrame, month_column: str, months: list[str]) -> None:
+    other = rows.filter(~F.col(month_column).isin(months)).select(month_column).limit(1).collect()
+    if other:
+        raise UnreadMonthError(f"rows of {other[0][0]} are in a run over {months}; nothing was written")
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, months: list[str]) -> None:
@@ -99,31 +110,36 @@ def together(*jobs) -> None:
             done.result()
 
 
-def run_report(spark: SparkSession, lake: Lake, bronze: DataFrame, clicks: DataFrame, rejected: DataFrame,
-               visits: DataFrame, months: list[str]) -> DataFrame:
-    """``metric, value`` rows of one run. Counts come from the written tables, mostly from file footers."""
-    count = F.count("*")
-    tables = lake.tables
+def run_report(spark: SparkSession, lake: Lake, raw: DataFrame, increment: Increment, deleted: DataFrame,
+               months: list[str]) -> DataFrame:
+    """``metric, value`` rows of one run. Every count is measured where its rows lie: the source, the staged rows of the
+    run, and the tables it wrote. ``unaccounted`` is what Bronze holds beyond the counted outputs, and must be 0.
+    """
+    count, tables, silver = F.count("*"), lake.tables, increment.silver
+    clicks = month_filter(spark.table(tables.clicks), "click_month", months)
+    rejected = month_filter(spark.table(tables.rejected), "source_month", months)
+    visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
     products = spark.read.schema(S.PRODUCTS_SCHEMA).parquet(f"{lake.gold}/products")
-    parts = [
-        metric(bronze, source_rows=count, bronze_rows=count),
-        metric(count_resends(bronze), duplicates_removed=F.sum("duplicates_removed")),
+    of_deleted = silver.clicks.select("visit_id").unionByName(silver.rejected.select("visit_id")).join(
+        deleted, "visit_id", "left_semi")
+    counts = reduce(DataFrame.unionByName, [
+        metric(raw, source_rows=count),
+        metric(increment.bronze, bronze_rows=count),
+        metric(silver.duplicates_removed, duplicates_removed=F.sum("duplicates_removed")),
+        metric(of_deleted, deleted_visits_removed=count),
         metric(rejected, rejected_rows=count),
         metric(clicks, silver_clicks=count),
         metric(visits, visits=count, one_click_visits=F.count_if("bounced")),
         metric(category_mismatches(clicks, products), category_mismatches=count),
         metric(spark.table(tables.clicks), total_silver_clicks=count),
         metric(spark.table(tables.gold_visits), total_visits=count),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    counts = {row["metric"]: row["value"] for row in report.collect()}
-    judged = counts["bronze_rows"] - counts["duplicates_removed"]
-    counts["deleted_visits_removed"] = judged - counts["rejected_rows"] - counts["silver_clicks"]
+    ])
+    found = {row["metric"]: row["value"] for row in counts.collect()}
+    outputs = ("duplicates_removed", "deleted_visits_removed", "rejected_rows", "silver_clicks")
+    found["unaccounted"] = found["bronze_rows"] - sum(found[name] for name in outputs)
     reasons = [(f"rejected: {row['rejection_reason']}", row["rejected"])
                for row in rejections_by_reason(rejected).collect()]
-    rows = list(counts.items()) + reasons + [(f"source_month: {month}", 1) for month in months]
+    rows = list(found.items()) + reasons + [(f"source_month: {month}", 1) for month in months]
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 
@@ -136,8 +152,14 @@ def erase_visits(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_tim
     """Erase visits from every layer and keep them erased; return the months that were touched.
 
     Order: the list first, so that any later run leaves the visits out even if this one stops half-way; then Silver,
-    Gold, and the landed lines. The rewritten landing months count as new files for the next run.
+    Gold, and the landed lines. The rewritten landing months count as new files for the next run. Staged copies are
+    removed at the end.
     """
+    with run_scratch(spark):
+        return _erase(spark, lake, visits, deleted_time, reason)
+
+
+def _erase(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_time: datetime, reason: str) -> list[str]:
     tables = lake.tables
     wanted = staged(visits.select("visit_id").distinct(), "erased-visits")
     landed = to_plain_columns(read_raw_clicks(spark, lake.landing), keep=("source_month",)).select("visit_id", "source_month")
@@ -167,5 +189,5 @@ def erase_from_table(spark: SparkSession, table: str, month_column: str, months:
         replace_months_in_table(staged(kept, "kept-rows"), table, hit, CLICK_ORDER)
 
 
-def _status(spark: SparkSession, text: str) -> DataFrame:
-    return spark.createDataFrame([(f"status: {text}", 0), ("source_rows", 0)], "metric string, value bigint")
+def _nothing_new(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("status: no new source files", 0), ("source_rows", 0)], "metric string, value bigint")

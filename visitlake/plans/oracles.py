@@ -1,11 +1,11 @@
-"""Independent SQL for the registered queries, run by another engine on the same tables.
+"""Independent SQL for the registered queries, run by another engine on the same tables. It shares no values with the jobs.
 
 Every text is a chain of common table expressions over ``events`` (or ``documents``) and one final SELECT.
 """
 
 from itertools import accumulate
 
-from visitlake import schemas as S
+from visitlake.plans import oracle_values as S
 
 MONTHS = ["2024-01", "2024-02", "2024-03", "2024-04", "2024-05", "2024-06"]
 MONTH_LIST = ", ".join(f"'{month}'" for month in MONTHS)
@@ -187,12 +187,22 @@ generated AS (
   FROM raw LEFT JOIN times USING (visit_id, click_number_in_visit))"""
 LANDED_BRONZE = f"""
 bronze AS (
-  SELECT *, TIMESTAMP '2024-07-02 00:00:00' AS received_time, 'uci553' AS data_source, 0 AS event_id
-  FROM generated WHERE {SOURCE_MONTH} IN ({MONTH_LIST}))"""
+  SELECT *, TIMESTAMP '2024-07-02 00:00:00' AS received_time, 'uci553' AS data_source, 0 AS event_id,
+    CASE WHEN {SOURCE_MONTH} IN ('2024-01', '2024-02', '2024-03') THEN 1 ELSE 2 END AS run
+  FROM generated)"""
+# Each of two runs judges the rows it was given.
+JUDGED_BY_RUN = (JUDGED.replace("PARTITION BY visit_id", "PARTITION BY run, visit_id")
+                 .replace("PARTITION BY click_id", "PARTITION BY run, click_id"))
+# A run with a list of erased visits: they are counted and left out.
+LISTED_BRONZE = LANDED_BRONZE.replace("bronze AS", "all_bronze AS") + f""",
+listed AS (SELECT DISTINCT visit_id FROM raw WHERE country_code = {ERASED_COUNTRY}),
+bronze AS (SELECT * FROM all_bronze WHERE visit_id NOT IN (SELECT visit_id FROM listed))"""
 
 FLOW = [RAW, BRONZE, JUDGED]
 GOLD = FLOW + [VISITS]
 LANDED = [RAW, GENERATED, LANDED_BRONZE, JUDGED]
+LAKE = [RAW, GENERATED, LANDED_BRONZE, JUDGED_BY_RUN, VISITS]
+REPORTED = [RAW, GENERATED, LISTED_BRONZE, JUDGED, VISITS, PRODUCTS]
 
 
 def text(parts, select):
@@ -232,6 +242,19 @@ def mask_email(column):
     return rf"regexp_replace({column}, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '<email>', 'g')"
 
 
+def mask_version(column):
+    return rf"""regexp_replace({column}, '("?VersionId"?\s*[:=]\s*"?)([^\s",}}]+)', '\1<version-id>', 'g')"""
+
+
+# Texts with identifiers behind them; each kind has a near miss.
+TAGGED = """
+ids AS (SELECT doc_id, text, CAST(doc_id AS VARCHAR) AS d, lpad(CAST(doc_id AS VARCHAR), 12, '7') AS account FROM documents),
+tagged AS (
+  SELECT doc_id, text || ' arn:aws:s3:::b' || d || '/k arn:awful x' || d || '-Silverbucket-q' || d || ' silverbucket-z '
+    || account || ' 1' || account || ' u' || d || '@mail.example u' || d || '@x uci553-' || d || '-3 uci553-' || d
+    || '1-3 "VersionId": "v' || d || '" {"visit_id": ' || d || ', "visit_id":"' || d || '", "id": ' || d || '}' AS text
+  FROM ids)"""
+
 SILVER_LIST = ", ".join(S.SILVER_COLUMNS)
 REJECTED_LIST = ", ".join(S.REJECTED_COLUMNS)
 WEEKEND = "extract(isodow FROM click_date) IN (6, 7)"
@@ -244,6 +267,25 @@ kept AS (
 BY_MONTH = "SELECT {month}, count(*) AS {name} FROM {table} GROUP BY {month}"
 RATE = "round(CAST(sum(CASE WHEN bounced THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 4)"
 
+CALENDAR = "SELECT DISTINCT click_date AS calendar_date, dayname(click_date) AS day_of_week, CAST(weekofyear(click_date) AS BIGINT) AS week_number, monthname(click_date) AS month_name FROM clicks"
+DAILY = f"SELECT visit_date, count(*) AS visits, CAST(sum(clicks_in_visit) AS BIGINT) AS clicks, {RATE} AS bounce_rate FROM visits GROUP BY visit_date"
+FUNNEL = "SELECT p.shop_page, count(v.visit_id) AS visits_reaching_page FROM (SELECT unnest(range(1, 6)) AS shop_page) p LEFT JOIN visits v ON v.deepest_page_reached >= p.shop_page GROUP BY p.shop_page"
+BY_PRODUCT = f"SELECT first_product_viewed AS product_code, count(*) AS visits_started, CAST(sum(CASE WHEN bounced THEN 1 ELSE 0 END) AS BIGINT) AS visits_bounced, {RATE} AS bounce_rate FROM visits GROUP BY 1"
+BY_COUNTRY = "SELECT v.country_code, n.country_name, v.device_type_synthetic, count(*) AS visits FROM visits v JOIN countries n ON n.country_code = v.country_code GROUP BY ALL"
+REPORT = totals(
+    source_rows="all_bronze", bronze_rows="all_bronze", rejected_rows="rejected", silver_clicks="clicks", visits="visits",
+    category_mismatches="mismatches", total_silver_clicks="clicks", total_visits="visits") + "\nUNION ALL\n" + metrics(
+    duplicates_removed="SELECT count(*) - count(DISTINCT click_id) FROM all_bronze",
+    deleted_visits_removed="SELECT count(*) FROM all_bronze WHERE visit_id IN (SELECT visit_id FROM listed)",
+    one_click_visits="SELECT count(*) FROM visits WHERE bounced",
+    unaccounted="SELECT count(DISTINCT click_id) - count(DISTINCT click_id) FILTER (visit_id IN (SELECT visit_id FROM listed))"
+                " - (SELECT count(*) FROM rejected) - (SELECT count(*) FROM clicks) FROM all_bronze") + f"""
+UNION ALL SELECT 'rejected: ' || rejection_reason, count(*) FROM rejected GROUP BY rejection_reason
+UNION ALL SELECT DISTINCT 'source_month: ' || {SOURCE_MONTH}, 1 FROM raw"""
+FROM_SOURCE = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS metric, count(*) AS value, '{scope}' AS scope FROM {table} WHERE {kept}"
+    for scope, kept in (("all", "TRUE"), ("without_visit", "visit_id NOT IN (SELECT visit_id FROM picked)"))
+    for name, table in (("bronze_rows", "bronze"), ("silver_clicks", "clicks"), ("rejected_rows", "rejected"), ("visits", "visits")))
 
 def by_month(table, month, name):
     return BY_MONTH.format(table=table, month=month, name=name)
@@ -258,7 +300,6 @@ def oracle_sql() -> dict[str, str]:
         nulls="SELECT " + " + ".join(f"count(*) FILTER ({name} IS NULL)" for name in S.PLAIN_COLUMNS) + " FROM raw",
         duplicate_rows=f"SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {PLAIN} FROM raw)) FROM raw",
         visits="SELECT count(*) FROM lengths", longest_visit="SELECT max(clicks) FROM lengths",
-        median_visit="SELECT trunc(median(clicks)) FROM lengths",
         one_click_visits="SELECT count(*) FROM lengths WHERE clicks = 1",
         days="SELECT count(*) FROM (SELECT DISTINCT year, month, day FROM raw)",
         **{f"distinct_{name}": f"SELECT count(DISTINCT {name}) FROM raw" for name in S.PLAIN_COLUMNS})
@@ -270,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
         "source_scan": text([RAW], f"SELECT {TEXT_COLUMNS} FROM raw"),
         "source_plain": text([RAW], f"SELECT * REPLACE (CASE WHEN price_usd < 20 THEN NULL ELSE price_usd END AS price_usd) FROM (SELECT {PLAIN} FROM raw)"),
         "incremental_new_files": text([RAW], f"SELECT {SOURCE_MONTH} AS source_month, count(*) AS row_count FROM raw WHERE {SOURCE_MONTH} IN ('2024-04', '2024-05', '2024-06') GROUP BY 1"),
-        "stream_new_files": text([RAW], f"SELECT {SOURCE_MONTH} AS source_month, count(*) AS row_count, CAST(sum(price_usd) AS BIGINT) AS price_usd FROM raw WHERE {SOURCE_MONTH} IN ({MONTH_LIST}) GROUP BY 1"),
+        "stream_new_files": text([RAW], f"SELECT {SOURCE_MONTH} AS source_month, count(*) AS row_count, CAST(sum(price_usd) AS BIGINT) AS price_usd FROM raw GROUP BY 1"),
         "land_by_month": text([RAW], f"SELECT {TEXT_COLUMNS}, {SOURCE_MONTH} AS source_month FROM raw WHERE {SOURCE_MONTH} IN ({MONTH_LIST})"),
         "month_overwrite": text(FLOW, "SELECT click_id, click_month, price_usd + CASE WHEN click_month = '2024-02' THEN 1000 ELSE 0 END AS price_usd FROM clicks"),
         "whole_rebuild": text(FLOW + [PRODUCTS], "SELECT * FROM products"),
@@ -290,7 +331,7 @@ def oracle_sql() -> dict[str, str]:
         "month_key": text([RAW], f"SELECT event_id, strftime({REAL_DATE}, '%Y-%m') AS click_month, CASE WHEN product_code IS NULL THEN 'unknown' ELSE {SOURCE_MONTH} END AS source_month FROM raw"),
         "weekend_click": text(FLOW, f"SELECT click_id, {WEEKEND} AS weekend_click FROM clicks"),
         "seconds_late": text(FLOW, "SELECT click_id, seconds_late FROM clicks"),
-        "calendar_days": text(FLOW, "SELECT DISTINCT click_date AS calendar_date, dayname(click_date) AS day_of_week, CAST(weekofyear(click_date) AS BIGINT) AS week_number, monthname(click_date) AS month_name FROM clicks"),
+        "calendar_days": text(FLOW, CALENDAR),
         "summary_types": text(GOLD, "SELECT visit_month, CAST(sum(clicks_in_visit) AS DOUBLE) / 100 AS hundred_clicks, count(*) AS visits FROM visits GROUP BY visit_month"),
         "reject_missing": text(FLOW, rejected_for(S.MISSING_FIELD, S.INVALID_DATE)),
         "reject_ranges": text(FLOW, "SELECT click_id, rejection_reason FROM rejected WHERE rejection_reason LIKE '% outside %-%'"),
@@ -298,8 +339,8 @@ def oracle_sql() -> dict[str, str]:
         # Joins
         "category_mismatches": text(FLOW + [PRODUCTS], "SELECT * FROM mismatches"),
         "remove_deleted_visits": text(GOLD + [ERASED], f"SELECT {SILVER_LIST} FROM kept"),
-        "visits_by_country_and_device": text(GOLD + [COUNTRIES], "SELECT v.country_code, n.country_name, v.device_type_synthetic, count(*) AS visits FROM visits v JOIN countries n ON n.country_code = v.country_code GROUP BY ALL"),
-        "visit_depth_funnel": text(GOLD, "SELECT p.shop_page, count(v.visit_id) AS visits_reaching_page FROM (SELECT unnest(range(1, 6)) AS shop_page) p LEFT JOIN visits v ON v.deepest_page_reached >= p.shop_page GROUP BY p.shop_page"),
+        "visits_by_country_and_device": text(GOLD + [COUNTRIES], BY_COUNTRY),
+        "visit_depth_funnel": text(GOLD, FUNNEL),
         "reconcile_months": text(FLOW + [f"\na AS (SELECT {SOURCE_MONTH} AS m, count(*) AS expected FROM raw GROUP BY 1)", "\nb AS (SELECT click_month AS m, count(*) AS actual FROM clicks GROUP BY 1)"], "SELECT coalesce(a.m, b.m) AS month, expected, actual, expected IS NOT DISTINCT FROM actual AS matches FROM a FULL OUTER JOIN b ON a.m = b.m"),
         # Aggregations
         "visits": text(GOLD, "SELECT * FROM visits"),
@@ -309,8 +350,8 @@ def oracle_sql() -> dict[str, str]:
         "rejected_by_month": text(FLOW, by_month("rejected", "source_month", "rejected")),
         "gold_visits_by_month": text(GOLD, by_month("visits", "visit_month", "visits")),
         "gold_clicks_by_month": text(FLOW, by_month("clicks", "click_month", "clicks")),
-        "daily_visits": text(GOLD, f"SELECT visit_date, count(*) AS visits, CAST(sum(clicks_in_visit) AS BIGINT) AS clicks, {RATE} AS bounce_rate FROM visits GROUP BY visit_date"),
-        "bounce_rate_by_product": text(GOLD, f"SELECT first_product_viewed AS product_code, count(*) AS visits_started, CAST(sum(CASE WHEN bounced THEN 1 ELSE 0 END) AS BIGINT) AS visits_bounced, {RATE} AS bounce_rate FROM visits GROUP BY 1"),
+        "daily_visits": text(GOLD, DAILY),
+        "bounce_rate_by_product": text(GOLD, BY_PRODUCT),
         "null_share_by_month": text(FLOW + [EVOLVED], "SELECT click_month, avg(CASE WHEN weekend_click IS NULL THEN 1.0 ELSE 0.0 END) AS null_share FROM evolved GROUP BY 1"),
         "quality_counts": text(GOLD + [PRODUCTS], totals(source_rows="raw", bronze_rows="bronze", rejected_rows="rejected", silver_clicks="clicks", visits="visits", category_mismatches="mismatches") + "\nUNION ALL\n" + metrics(duplicates_removed="SELECT (SELECT count(*) FROM bronze) - count(*) FROM unique_clicks", one_click_visits="SELECT count(*) FROM visits WHERE bounced")),
         "rejections_by_reason": text(FLOW, "SELECT rejection_reason, count(*) AS rejected FROM rejected GROUP BY 1"),
@@ -318,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "rejected_rows": text(FLOW, "SELECT 'all' AS scope, count(*) AS rejected FROM rejected"),
         "visit_row_counts": text(GOLD + [PICKED], "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {table} WHERE visit_id IN (SELECT visit_id FROM picked)" for name, table in (("silver_clicks", "clicks"), ("silver_clicks_rejected", "rejected"), ("gold_visits", "visits")))),
         "weekend_mismatches": text(FLOW + [EVOLVED], f"SELECT count(*) FILTER (weekend_click IS DISTINCT FROM ({WEEKEND})) AS mismatched_rows, count(*) AS rows_checked FROM evolved"),
-        "dataset_profile": text([RAW, "\nlengths AS (SELECT visit_id, count(*) AS clicks FROM raw GROUP BY visit_id)"], profile),
+        "dataset_profile": text([RAW, "\nlengths AS (SELECT visit_id, count(*) AS clicks FROM raw GROUP BY visit_id)"], f"SELECT metric, CAST(value AS DOUBLE) AS value FROM ({profile}) UNION ALL SELECT 'median_visit', median(clicks) FROM lengths"),
         "constancy_violations": text([RAW], "\nUNION ALL\n".join(f"SELECT '{key}' AS key_name, CAST({key} AS VARCHAR) AS key, '{name}' AS attribute, count(DISTINCT {name}) AS distinct_values FROM raw WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(DISTINCT {name}) > 1" for key, name in constancy)),
         # Windows
         "dedup_resends": text([RAW, BRONZE, "\nunique_clicks AS (SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY click_id ORDER BY received_time) = 1)"], f"SELECT {', '.join(S.BRONZE_COLUMNS)} FROM unique_clicks"),
@@ -335,12 +376,23 @@ def oracle_sql() -> dict[str, str]:
         "silver_clicks": text(FLOW, f"SELECT {SILVER_LIST} FROM clicks"),
         "synthetic_fields": text([RAW, GENERATED], "SELECT * FROM generated"),
         "increment": text(LANDED + [VISITS], totals(source_rows="bronze", bronze_rows="bronze", silver_clicks="clicks", rejected_rows="rejected", gold_clicks="clicks", visits="visits", source_months=f"(SELECT DISTINCT {SOURCE_MONTH} FROM bronze)")),
-        "run_increment": text(LANDED + [VISITS, PRODUCTS], totals(total_silver_clicks="clicks", total_visits="visits", total_rejected="rejected", products="products", calendar_days="(SELECT DISTINCT click_date FROM clicks)") + "\nUNION ALL\n" + metrics(clicks_of_may="SELECT count(*) FROM clicks WHERE click_month = '2024-05'", weekend_clicks=f"SELECT count(*) FROM clicks WHERE {WEEKEND}", seconds_late="SELECT sum(seconds_late) FROM clicks")),
+        "run_increment": text(LAKE + [PRODUCTS], totals(total_silver_clicks="clicks", total_visits="visits", total_rejected="rejected", products="products", calendar_days="(SELECT DISTINCT click_date FROM clicks)") + "\nUNION ALL\n" + metrics(clicks_of_may="SELECT count(*) FROM clicks WHERE click_month = '2024-05'", weekend_clicks=f"SELECT count(*) FROM clicks WHERE {WEEKEND}", seconds_late="SELECT sum(seconds_late) FROM clicks")),
         "erase_visit": text(LANDED + [VISITS, ERASED], f"SELECT {SILVER_LIST} FROM kept"),
         "compact_month": text(FLOW, f"SELECT {SILVER_LIST} FROM clicks"),
-        "mask_email": f"SELECT doc_id, {mask_email('text')} AS masked FROM documents",
-        "mask_arn": f"SELECT doc_id, {mask_arn('text')} AS masked FROM documents",
-        "mask_text": f"SELECT doc_id, {_masked('text')} AS masked FROM documents",
+        "run_report": text(REPORTED, REPORT),
+        "lake_products": text(LAKE + [PRODUCTS], "SELECT * FROM products"),
+        "lake_calendar": text(LAKE, CALENDAR),
+        "lake_daily_visits": text(LAKE, DAILY),
+        "lake_visit_depth_funnel": text(LAKE, FUNNEL),
+        "lake_bounce_rate_by_product": text(LAKE, BY_PRODUCT),
+        "lake_visits_by_country_and_device": text(LAKE + [COUNTRIES], BY_COUNTRY),
+        "files_for_month": text(FLOW, "SELECT click_month, count(*) AS record_count, count(*) > 0 AS sound FROM clicks GROUP BY 1"),
+        "mask_email": text([TAGGED], f"SELECT doc_id, {mask_email('text')} AS masked FROM tagged"),
+        "mask_arn": text([TAGGED], f"SELECT doc_id, {mask_arn('text')} AS masked FROM tagged"),
+        "mask_text": text([TAGGED], f"SELECT doc_id, {_masked('text')} AS masked FROM tagged"),
+        "mask_visit": text([TAGGED], f"SELECT doc_id, replace({mask_version(_masked('text'))}, 'uci553-' || doc_id || '-', 'uci553-visit A-') AS masked FROM tagged"),
+        "mask_visit_fields": text([TAGGED], "SELECT doc_id, regexp_replace(text, '(\"visit_id\"\\s*:\\s*)(\"[^\"]*\"|-?[0-9.]+)', '\\1\"visit A\"', 'g') AS masked FROM tagged"),
+        "counts_from_source": text(GOLD + [PICKED], FROM_SOURCE),
         "gate_checks": text(GOLD + [EVOLVED, PICKED], GATE),
         "counts_without_visit": text(GOLD + [PICKED], "SELECT click_month, count(*) AS clicks FROM clicks WHERE visit_id NOT IN (SELECT visit_id FROM picked) GROUP BY 1"),
     }
@@ -358,6 +410,17 @@ SELECT 'weekend_values', '0', CAST((SELECT count(*) FROM evolved WHERE weekend_c
 UNION ALL
 SELECT 'no_rejects', '0', CAST((SELECT count(*) FROM rejected) AS VARCHAR), (SELECT count(*) FROM rejected) = 0
 UNION ALL
-SELECT 'visit_removed', '0', '0', TRUE
+SELECT 'visit_removed', '0', CAST(n AS VARCHAR), n = 0 FROM (
+    SELECT count(*) FILTER (visit_id IN (SELECT visit_id FROM picked)) AS n FROM clicks ANTI JOIN picked USING (visit_id))
+UNION ALL
+SELECT 'missing_fact', '1', fact, coalesce(fact = '1', FALSE) FROM (
+    SELECT max('1') AS fact FROM rejected WHERE rejection_reason IS NULL)
+UNION ALL
+SELECT 'other_visits_unchanged', '0', CAST(n AS VARCHAR), n = 0 FROM (
+    SELECT count(*) FILTER (a IS DISTINCT FROM b) AS n
+    FROM (SELECT visit_id, count(*) AS a FROM clicks WHERE visit_id NOT IN (SELECT visit_id FROM picked) GROUP BY 1) x
+    FULL OUTER JOIN (SELECT visit_id, count(*) AS b FROM clicks ANTI JOIN picked USING (visit_id) GROUP BY 1) y USING (visit_id))
 UNION ALL
-SELECT 'missing_fact', '1', NULL, FALSE"""
+SELECT 'final_clicks', CAST(a AS VARCHAR), CAST(b AS VARCHAR), a = b FROM (
+    SELECT (SELECT count(*) FROM clicks) - (SELECT count(*) FROM clicks SEMI JOIN picked USING (visit_id)) AS a,
+           (SELECT count(*) FROM clicks ANTI JOIN picked USING (visit_id)) AS b)"""

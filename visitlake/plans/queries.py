@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 from visitlake.functions import (
-    click_id, decode, is_weekend, mask_arns, mask_emails, mask_text, mask_visit, month_of, real_date, shop_local_time,
+    click_id, decode, is_weekend, mask_arns, mask_emails, mask_text, mask_visit, mask_visit_fields, month_of, real_date, shop_local_time,
     shop_time_to_utc, source_month,
 )
 from visitlake.operators import checks, gold, quality, resends, rules, silver, summaries
@@ -29,18 +29,28 @@ from visitlake.streaming.new_files import process_available, stream_raw_clicks
 
 RECEIVED = datetime(2024, 7, 1, 12, 0, tzinfo=timezone.utc)
 RUN_TIME = datetime(2024, 7, 2, tzinfo=timezone.utc)
-_bronze_paths: dict[tuple[str, str], str] = {}
+LANDED = [*MONTHS, "2024-13"]  # the months of the data; some rows carry a month that does not exist
+_kept: dict[tuple[str, str, str], object] = {}
 
 
 # Inputs
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _bronze_paths:
-        path = scratch_folder(spark, "bronze")
-        fixture.bronze_clicks(spark, sf_dir).write.parquet(path)
-        _bronze_paths[key] = path
-    return spark.read.schema(S.BRONZE_SCHEMA).parquet(_bronze_paths[key])
+def once(name, build):
+    """``build(spark, sf_dir)``, made once per application and table folder, as the tables of a lake are."""
+    def find(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _kept:
+            _kept[key] = build(spark, sf_dir)
+        return _kept[key]
+    return find
+
+
+def stored(name, build):
+    """A frame written once and read back by the queries that ask a finished table."""
+    return once(name, lambda spark, sf_dir: staged(build(spark, sf_dir), name))
+
+
+bronze = stored("bronze", fixture.bronze_clicks)
 
 
 def received_once(spark, sf_dir):
@@ -50,16 +60,7 @@ def received_once(spark, sf_dir):
         .select(S.ENRICHED_SCHEMA.fieldNames()), RECEIVED)
 
 
-def silver_of(spark, sf_dir):
-    return silver.build_silver(bronze(spark, sf_dir), RUN_TIME)
-
-
-def stored_silver(spark, sf_dir):
-    """Silver for queries with several outputs: the failing clicks and the clean clicks are written once."""
-    rows = bronze(spark, sf_dir)
-    found = silver.build_silver(rows, RUN_TIME, staged(silver.problems_of(rows), "problems"))
-    found.clicks = staged(found.clicks, "clicks")
-    return found
+silver_of = once("silver", lambda spark, sf_dir: silver.build_silver(bronze(spark, sf_dir), RUN_TIME))
 
 
 def clicks(spark, sf_dir):
@@ -74,6 +75,11 @@ def visits(spark, sf_dir):
     return gold.build_visits(clicks(spark, sf_dir))
 
 
+stored_clicks, stored_rejected = stored("clicks", clicks), stored("rejected", rejected)
+stored_visits = stored("visits", visits)
+stored_gold_clicks = stored("gold_clicks", lambda spark, sf_dir: gold.build_gold_clicks(stored_clicks(spark, sf_dir)))
+
+
 def products(spark, sf_dir):
     return gold.build_products(clicks(spark, sf_dir))
 
@@ -134,7 +140,7 @@ def incremental_new_files(spark, sf_dir):
 
 
 def stream_new_files(spark, sf_dir):
-    """The file stream runs twice around a second landing; each landed row arrives once."""
+    """The file stream runs twice around a second landing, of all other months; each landed row arrives once."""
     source, folder = _landed(spark, sf_dir, MONTHS[:3])
     received, checkpoint = f"{folder}-received", f"{folder}-checkpoint"
 
@@ -143,7 +149,7 @@ def stream_new_files(spark, sf_dir):
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(received))
 
     process_available(stream_raw_clicks(spark, folder), checkpoint, keep)
-    landing.land_months(spark, source, folder, MONTHS, "first delivery")
+    landing.land_months(spark, source, folder, LANDED, "first delivery")
     process_available(stream_raw_clicks(spark, folder), checkpoint, keep)
     return spark.read.parquet(received).groupBy("source_month").agg(
         F.count("*").alias("row_count"), F.sum("price_usd").alias("price_usd"))
@@ -204,7 +210,13 @@ def month_scan(spark, sf_dir):
 
 
 def files_for_month(spark, sf_dir):
-    return tables.data_files(month_scan(spark, sf_dir))
+    """Data files of each month: their rows, and whether each file has a size and a name of its own."""
+    path = scratch_folder(spark, "clicks")
+    tables.write_months(stored_clicks(spark, sf_dir), path, "click_month")
+    files = tables.data_files(spark.read.schema(S.SILVER_SCHEMA).parquet(path))
+    month = F.regexp_extract("file_path", "click_month=([^/]+)/", 1).alias("click_month")
+    sound = F.bool_and(F.col("file_size_in_bytes") > 0) & (F.count_distinct("file_path") == F.count("*"))
+    return files.groupBy(month).agg(F.sum("record_count").alias("record_count"), sound.alias("sound"))
 
 
 def compact_month(spark, sf_dir):
@@ -277,13 +289,13 @@ def summary_types(spark, sf_dir):
 # Joins, aggregates, checks
 
 def mismatches(spark, sf_dir):
-    rows = clicks(spark, sf_dir)
+    rows = stored_clicks(spark, sf_dir)
     return quality.category_mismatches(rows, gold.build_products(rows))
 
 
 def _erased(spark, sf_dir):
     """The suppression list of these tables: every visit of unidentified origin."""
-    return visits(spark, sf_dir).filter(F.col("country_code") == ERASED_COUNTRY)
+    return stored_visits(spark, sf_dir).filter(F.col("country_code") == ERASED_COUNTRY)
 
 
 def without_deleted_visits(spark, sf_dir):
@@ -297,10 +309,9 @@ def reconcile_months(spark, sf_dir):
 
 
 def quality_counts(spark, sf_dir):
-    found = stored_silver(spark, sf_dir)
     return quality.quality_counts(
-        received_once(spark, sf_dir), bronze(spark, sf_dir), found.duplicates_removed, found.rejected, found.clicks,
-        gold.build_visits(found.clicks), quality.category_mismatches(found.clicks, gold.build_products(found.clicks)))
+        received_once(spark, sf_dir), bronze(spark, sf_dir), silver_of(spark, sf_dir).duplicates_removed,
+        stored_rejected(spark, sf_dir), stored_clicks(spark, sf_dir), stored_visits(spark, sf_dir), mismatches(spark, sf_dir))
 
 
 def picked_from(rows):
@@ -312,9 +323,9 @@ def picked(spark, sf_dir):
 
 
 def visit_row_counts(spark, sf_dir):
-    found = stored_silver(spark, sf_dir)
-    return checks.rows_of_visits(picked_from(found.clicks), silver_clicks=found.clicks, silver_clicks_rejected=found.rejected,
-                                 gold_visits=gold.build_visits(found.clicks))
+    clean = stored_clicks(spark, sf_dir)
+    return checks.rows_of_visits(picked_from(clean), silver_clicks=clean, silver_clicks_rejected=stored_rejected(spark, sf_dir),
+                                 gold_visits=stored_visits(spark, sf_dir))
 
 
 def weekend_mismatches(spark, sf_dir):
@@ -322,23 +333,46 @@ def weekend_mismatches(spark, sf_dir):
 
 
 def counts_without_visit(spark, sf_dir):
-    kept = remove_deleted_visits(clicks(spark, sf_dir), picked(spark, sf_dir).select("visit_id"))
+    clean = stored_clicks(spark, sf_dir)
+    kept = remove_deleted_visits(clean, picked_from(clean).select("visit_id"))
     return quality.rows_by_month(kept, "click_month", "clicks")
 
 
+def counts_from_source(spark, sf_dir):
+    """Four counts with and without one visit, each after Silver and Gold were built from the source rows that are left."""
+    rows = bronze(spark, sf_dir)
+    visit = picked_from(stored_clicks(spark, sf_dir)).select("visit_id")
+
+    def counted(scope, left):
+        found, count = silver.build_silver(left, RUN_TIME), F.count("*")
+        frames = [quality.metric(left, bronze_rows=count), quality.metric(found.clicks, silver_clicks=count),
+                  quality.metric(found.rejected, rejected_rows=count),
+                  quality.metric(gold.build_visits(found.clicks), visits=count)]
+        return checks.all_checks(frames).withColumn("scope", F.lit(scope))
+
+    return counted("all", rows).unionByName(counted("without_visit", rows.join(visit, "visit_id", "left_anti")))
+
+
 def gate_checks(spark, sf_dir):
-    """Five release checks; two fail here by design: rejects exist, and one fact is missing."""
-    found = stored_silver(spark, sf_dir)
-    grain = found.clicks.groupBy(F.col("click_month").alias("month")).agg(F.count_distinct("visit_id").alias("visits"))
-    built = gold.build_visits(found.clicks).groupBy(F.col("visit_month").alias("month")).agg(F.count("*").alias("visits"))
-    picked_visit = picked_from(found.clicks).select("visit_id")
-    left = checks.rows_of_visits(picked_visit, silver=remove_deleted_visits(found.clicks, picked_visit))
+    """Seven release checks; some fail here: rejects exist, a fact is missing, and only two months were migrated."""
+    clean, bad, whole = (read(spark, sf_dir) for read in (stored_clicks, stored_rejected, stored_visits))
+    grain = clean.groupBy(F.col("click_month").alias("month")).agg(F.count_distinct("visit_id").alias("visits"))
+    built = whole.groupBy(F.col("visit_month").alias("month")).agg(F.count("*").alias("visits"))
+    picked_visit = picked_from(clean).select("visit_id")
+    kept = remove_deleted_visits(clean, picked_visit)
+    left = checks.rows_of_visits(picked_visit, silver=kept)
     weekend = checks.mismatched_rows(_evolved(spark, sf_dir), F.col("weekend_click"), is_weekend("click_date"))
-    nothing = found.rejected.filter("rejection_reason IS NULL").select(F.lit(1).alias("value"))
+    nothing = bad.filter("rejection_reason IS NULL").select(F.lit(1).alias("value"))
+    of_others = [frame.join(picked_visit, "visit_id", "left_anti").groupBy("visit_id").agg(F.count("*").alias("clicks"))
+                 for frame in (clean, kept)]
+    erased_rows = clean.join(picked_visit, "visit_id", "left_semi").select(F.lit(-1).alias("rows"))
+    expected_rows = clean.select(F.lit(1).alias("rows")).unionByName(erased_rows).agg(F.sum("rows")).scalar()
     return checks.all_checks([
+        checks.check_counts("other_visits_unchanged", *of_others, "visit_id", "clicks"),
+        checks.check("final_clicks", expected_rows, kept.agg(F.count("*").alias("value"))),
         checks.check_counts("visits_match_clicks", grain, built, "month", "visits"),
         checks.check("weekend_values", F.lit(0), weekend.select(F.col("mismatched_rows").alias("value"))),
-        checks.check("no_rejects", F.lit(0), found.rejected.agg(F.count("*").alias("value"))),
+        checks.check("no_rejects", F.lit(0), bad.agg(F.count("*").alias("value"))),
         checks.check("visit_removed", F.lit(0), left.select(F.col("row_count").alias("value"))),
         checks.check("missing_fact", F.lit(1), nothing),
     ])
@@ -355,7 +389,7 @@ def synthetic_fields(spark, sf_dir):
 
 
 def increment(spark, sf_dir):
-    raw = raw_clicks.read_raw_clicks(spark, _landed(spark, sf_dir, MONTHS)[1])
+    raw = raw_clicks.read_raw_clicks(spark, _landed(spark, sf_dir, LANDED)[1])
     built = build_increment(raw, RUN_TIME)
     count = F.count("*")
     parts = dict(source_rows=built.source, bronze_rows=built.bronze, silver_clicks=built.silver.clicks,
@@ -365,22 +399,45 @@ def increment(spark, sf_dir):
     return checks.all_checks(frames)
 
 
-def _lake(spark, sf_dir, months) -> tuple[lakes.Lake, str]:
-    """A lake after one run over some months."""
+def _new_lake(spark, sf_dir, months) -> tuple[lakes.Lake, str]:
+    """A lake with landed months that no run has seen yet, and its source files."""
     source, folder = _landed(spark, sf_dir, months)
     names = tables.LakeTables.within(_database(spark, "lake"))
     tables.create_lake_tables(spark, names)
     tables.add_column(spark, names.clicks, "weekend_click", "boolean")
-    lake = lakes.Lake(folder, names, f"{folder}-gold", f"{folder}-ledger")
+    return lakes.Lake(folder, names, f"{folder}-gold", f"{folder}-ledger"), source
+
+
+def _two_runs(spark, sf_dir) -> lakes.Lake:
+    """Two runs: three months, then all others."""
+    lake, source = _new_lake(spark, sf_dir, MONTHS[:3])
+    lakes.run_new_files(spark, lake, RUN_TIME)
+    landing.land_months(spark, source, lake.landing, LANDED, "first delivery")
     lakes.run_new_files(spark, lake, RUN_TIME)
-    return lake, source
+    return lake
+
+
+lake_of = once("lake", _two_runs)
+
+
+def lake_table(name):
+    """A whole-dataset table of the lake, read back after both runs."""
+    return lambda spark, sf_dir: spark.read.parquet(f"{lake_of(spark, sf_dir).gold}/{name}")
+
+
+def run_report(spark, sf_dir):
+    """The report of a run over all months, with the visits of one country on the list of erased visits before it."""
+    lake, _ = _new_lake(spark, sf_dir, LANDED)
+    listed = plain(spark, sf_dir).filter(F.col("country_code") == ERASED_COUNTRY).select("visit_id").distinct()
+    entries = listed.select("visit_id", raw_clicks.utc_literal(RUN_TIME).alias("deleted_time"), F.lit("request").alias("reason"),
+                            F.lit("list").alias("bronze_key"))
+    tables.fit_to_table(entries, lake.tables.deleted_visits).write.insertInto(lake.tables.deleted_visits)
+    return lakes.run_new_files(spark, lake, RUN_TIME)
 
 
 def run_increment(spark, sf_dir):
-    """Two runs: three months, then the other three."""
-    lake, source = _lake(spark, sf_dir, MONTHS[:3])
-    landing.land_months(spark, source, lake.landing, MONTHS, "first delivery")
-    lakes.run_new_files(spark, lake, RUN_TIME)
+    """Counts of the lake after two runs."""
+    lake = lake_of(spark, sf_dir)
     count, silver_clicks = F.count("*"), spark.table(lake.tables.clicks)
     return checks.all_checks([
         quality.metric(silver_clicks, total_silver_clicks=count, weekend_clicks=F.count_if("weekend_click"),
@@ -394,16 +451,26 @@ def run_increment(spark, sf_dir):
 
 def erase_visit(spark, sf_dir):
     """Visits of unidentified origin are erased from every layer, then the rewritten months are run again."""
-    lake, _ = _lake(spark, sf_dir, MONTHS)
+    lake, _ = _new_lake(spark, sf_dir, LANDED)
+    lakes.run_new_files(spark, lake, RUN_TIME)
     erased = spark.table(lake.tables.gold_visits).filter(F.col("country_code") == ERASED_COUNTRY)
     lakes.erase_visits(spark, lake, erased, RUN_TIME, "request")
     lakes.run_new_files(spark, lake, RUN_TIME)
     return spark.table(lake.tables.clicks).select(S.SILVER_COLUMNS)
 
 
+IDENTIFIERS = (
+    " arn:aws:s3:::b%1$d/k arn:awful x%1$d-Silverbucket-q%1$d silverbucket-z %2$s 1%2$s u%1$d@mail.example u%1$d@x"
+    ' uci553-%1$d-3 uci553-%1$d1-3 "VersionId": "v%1$d" {"visit_id": %1$d, "visit_id":"%1$d", "id": %1$d}')
+
+
 def masked(expression):
-    return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", expression(F.col("text")).alias("masked"))
+    """Whole texts with identifiers of the document behind them; each kind has one that only looks like it."""
+    def run(spark, sf_dir):
+        added = F.format_string(IDENTIFIERS, F.col("doc_id"), F.lpad(F.col("doc_id").cast("string"), 12, "7"))
+        documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        return documents.select("doc_id", expression(F.concat("text", added)).alias("masked"))
+    return run
 
 
 def _plainly(query):
@@ -450,24 +517,23 @@ def queries():
         "remove_deleted_visits": without_deleted_visits,
         "visits_by_country_and_device":
             lambda s, d: summaries.visits_by_country_and_device(visits(s, d), reference.build_countries(s)),
-        "visit_depth_funnel": lambda s, d: summaries.visit_depth_funnel(visits(s, d)),
+        "visit_depth_funnel": lambda s, d: summaries.visit_depth_funnel(stored_visits(s, d)),
         "reconcile_months": reconcile_months,
         "visits": visits,
         "products": products,
         "bronze_rows_by_month":
             lambda s, d: rows_by_month(bronze(s, d).select(source_month().alias("source_month")), "source_month"),
-        "silver_clicks_by_month": lambda s, d: rows_by_month(clicks(s, d), "click_month", "clicks"),
-        "rejected_by_month": lambda s, d: rows_by_month(rejected(s, d), "source_month", "rejected"),
-        "gold_visits_by_month": lambda s, d: rows_by_month(visits(s, d), "visit_month", "visits"),
-        "gold_clicks_by_month":
-            lambda s, d: rows_by_month(gold.build_gold_clicks(clicks(s, d)), "click_month", "clicks"),
+        "silver_clicks_by_month": lambda s, d: rows_by_month(stored_clicks(s, d), "click_month", "clicks"),
+        "rejected_by_month": lambda s, d: rows_by_month(stored_rejected(s, d), "source_month", "rejected"),
+        "gold_visits_by_month": lambda s, d: rows_by_month(stored_visits(s, d), "visit_month", "visits"),
+        "gold_clicks_by_month": lambda s, d: rows_by_month(stored_gold_clicks(s, d), "click_month", "clicks"),
         "daily_visits": lambda s, d: summaries.daily_visits(visits(s, d)),
         "bounce_rate_by_product": lambda s, d: summaries.bounce_rate_by_product(visits(s, d)),
         "null_share_by_month": lambda s, d: quality.null_share_by_month(_evolved(s, d), "weekend_click"),
         "quality_counts": quality_counts,
         "rejections_by_reason": lambda s, d: quality.rejections_by_reason(rejected(s, d)),
         "source_months": lambda s, d: source_months(bronze(s, d)),
-        "rejected_rows": lambda s, d: rejected(s, d).agg(F.count("*").alias("rejected")).select(
+        "rejected_rows": lambda s, d: stored_rejected(s, d).agg(F.count("*").alias("rejected")).select(
             F.lit("all").alias("scope"), "rejected"),
         "visit_row_counts": visit_row_counts,
         "weekend_mismatches": weekend_mismatches,
@@ -487,13 +553,22 @@ def queries():
         "synthetic_fields": synthetic_fields,
         "increment": increment,
         "run_increment": run_increment,
+        "run_report": run_report,
+        "lake_products": lake_table("products"),
+        "lake_calendar": lake_table("calendar_days"),
+        "lake_daily_visits": lake_table("summaries/daily_visits"),
+        "lake_visit_depth_funnel": lake_table("summaries/visit_depth_funnel"),
+        "lake_bounce_rate_by_product": lake_table("summaries/bounce_rate_by_product"),
+        "lake_visits_by_country_and_device": lake_table("summaries/visits_by_country_and_device"),
         "erase_visit": erase_visit,
         "compact_month": compact_month,
         "mask_email": masked(mask_emails),
         "mask_arn": masked(mask_arns),
         "mask_text": masked(mask_text),
         "mask_visit": masked(lambda text: mask_visit(text, F.col("doc_id"))),
+        "mask_visit_fields": masked(mask_visit_fields),
         "gate_checks": gate_checks,
+        "counts_from_source": counts_from_source,
         "counts_without_visit": counts_without_visit,
     }
     return {name: _plainly(query) for name, query in found.items()}

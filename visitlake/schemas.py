@@ -75,6 +75,7 @@ CODE_RANGES = {
 }
 MISSING_FIELD = "missing required field"
 INVALID_DATE = "invalid real date"
+OTHER_MONTH = "row outside its landing month"
 NOT_CONTIGUOUS = "click numbers not contiguous in visit"
 OUTSIDE_DATE = "synthetic time outside real date"
 NOT_INCREASING = "synthetic time not increasing"

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +38,28 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
         shared = _local_fallback()
-    return f"{shared.rstrip('/')}/visitlake/{name}-{uuid.uuid4().hex}"
+    below = _run_folders[-1] if _run_folders else f"{shared.rstrip('/')}/visitlake"
+    return f"{below}/{name}-{uuid.uuid4().hex}"
 
 
 _local_folder = None
+_run_folders: list[str] = []
+
+
+@contextmanager
+def run_scratch(spark: SparkSession):
+    """Scratch folders asked for inside lie in one folder, which is removed at the end, also after a failure.
+
+    No frame that reads from it may be used afterwards.
+    """
+    folder = scratch_folder(spark, "run")
+    _run_folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _run_folders.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _local_fallback() -> str:

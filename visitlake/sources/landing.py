@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlake import schemas as S
 from visitlake.session import staged
@@ -70,7 +71,7 @@ def land_months(spark: SparkSession, source: str, landing: str, months: list[str
     months = sorted(set(months))
     unknown = [month for month in months if allowed is not None and month not in allowed]
     if not months or unknown:
-        raise LandingError(f"months must be a non-empty list from {allowed}; got {months}")
+        raise LandingError(f"cannot land {unknown or 'no month at all'}; known months: {allowed or 'any'}")
     record = f"{landing}/_landed"
     landed = _landed_months(spark, record, fingerprint)
     todo = [month for month in months if month not in landed]
@@ -87,7 +88,7 @@ def land_months(spark: SparkSession, source: str, landing: str, months: list[str
                                "source_month string, fingerprint string, rows bigint")
          .coalesce(1).withColumn("landed_time", F.current_timestamp()).write.mode("append").parquet(record))
     report = [(month, counted.get(month, 0), "written") for month in todo]
-    report += [(month, landed[month], "skipped (same source file)") for month in months if month not in todo]
+    report += [(month, landed[month], "already landed") for month in months if month not in todo]
     return spark.createDataFrame(sorted(report), "source_month string, rows bigint, action string")
 
 
@@ -104,21 +105,32 @@ def _landed_months(spark: SparkSession, record: str, fingerprint: str) -> dict[s
 def erase_visit_lines(spark: SparkSession, landing: str, months: list[str], visits: DataFrame) -> None:
     """Rewrite month folders without the lines of the given visits; all other lines keep their text.
 
-    The kept lines are staged first: the month folders are replaced only once a full copy exists elsewhere.
+    A line's visit is read as the click reader reads it, so quotes, blanks and leading zeros do not hide a visit. The kept
+    lines are staged first: the month folders are replaced only once a full copy exists elsewhere.
     """
     lines = (spark.read.option("basePath", landing)
              .text([f"{landing}/source_month={month}" for month in months]).withColumnRenamed("value", "line"))
-    header = header_of(lines)
-    position = header.lstrip("\ufeff").split(S.SOURCE_SEPARATOR).index(S.SOURCE_VISIT_COLUMN)
-    visit = F.get(F.split("line", S.SOURCE_SEPARATOR), F.lit(position))
-    data = lines.filter((F.col("line") != header) & (F.trim("line") != "")).withColumn("visit_text", visit)
-    erased = visits.select(F.col("visit_id").cast("string").alias("visit_text")).distinct()
-    kept = staged(data.join(erased, "visit_text", "left_anti").select("line", "source_month"), "kept-lines")
+    header = only_header(lines)
+    names = header.lstrip("\ufeff").split(S.SOURCE_SEPARATOR)
+    fields = T.StructType([T.StructField(f"c{place}", T.StringType()) for place in range(len(names))])
+    visit = F.from_csv("line", fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                       {"sep": S.SOURCE_SEPARATOR})[f"c{names.index(S.SOURCE_VISIT_COLUMN)}"].try_cast("bigint")
+    data = lines.filter((F.col("line") != header) & (F.trim("line") != "")).withColumn("visit_id", visit)
+    kept = data.join(visits.select("visit_id").distinct(), "visit_id", "left_anti").select("line", "source_month")
+    kept = staged(kept, "kept-lines")
     write_month_files(kept, header, landing)
     left = [row[0] for row in kept.select("source_month").distinct().collect()]
     empty_month_files(spark, header, landing, [month for month in months if month not in left])
 
 
+def only_header(lines: DataFrame) -> str:
+    """The header that all files share. Files with another one would have their fields at other places."""
+    found = [row["line"] for row in lines.select("line").filter(F.col("line").contains(S.SOURCE_VISIT_COLUMN)).distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise LandingError(f"the landed files must share one header line; found {found}")
+    return found[0]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
