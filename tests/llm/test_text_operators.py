@@ -192,6 +192,7 @@ def test_language_of_words_and_texts(spark, strange):
     judged = {row["doc_id"]: row for row in language_crf.identify(strange, model).collect()}
     assert all(judged[number]["lang_pred"] == "und" and judged[number]["score"] == 0 for number in (1, 2, 3, 8))
     assert judged[5]["lang_pred"] in ("aa", "bb") and 0 < judged[5]["score"] <= 1
+    assert language_crf.words_of("x² ² Ⅳ 12 Été") == ["x²", "été"]
     kept = language_crf.with_language(strange, model, "quality")
     assert kept.columns == ["doc_id", "text", "lang", "ids", "quality"] and kept.count() == strange.count()
     unlearned = language_crf.fit(docs, F.col("doc_id") < 0)

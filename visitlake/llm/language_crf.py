@@ -27,7 +27,9 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters, lower-cased. What looks like a letter to the pattern only, such as a raised digit, is no word."""
+    found = LETTERS.findall(text.lower()) if text else []
+    return found if all(map(str.isalpha, found)) else [word for word in found if any(map(str.isalpha, word))]
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
