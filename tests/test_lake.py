@@ -89,9 +89,9 @@ def test_compaction_keeps_rows(spark, two_runs):
 
 
 def test_nothing_to_do(spark, lake):
-    assert run(spark, lake, []) == {"status: no new source files": 0, "source_rows": 0}
+    assert run(spark, lake, []) == {"status: nothing new landed": 0, "source_rows": 0}
     no_columns = spark.createDataFrame([], "x string").select()
-    assert lakes.run_increment(spark, no_columns, lake, RUN).head()["metric"] == "status: no new source files"
+    assert lakes.run_increment(spark, no_columns, lake, RUN).head()["metric"] == "status: nothing new landed"
 
 
 def test_month_that_becomes_empty_is_removed_from_every_layer(spark, lake):
@@ -196,7 +196,7 @@ def test_land_run_and_erase(spark, lake, tmp_path):
     assert [tuple(row) for row in again.collect()] == [("2008-04", 12, "already landed")]
     first = dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))
     assert (first["rejected_rows"], first["silver_clicks"]) == (2, 13)
-    assert "status: no new source files" in dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))
+    assert "status: nothing new landed" in dict(rows_of(lakes.run_new_files(spark, lake, RUN), "metric", "value"))
 
     wanted = spark.createDataFrame([(3,), (7,)], "visit_id bigint")
     august = files(spark, lake.tables.clicks, "2008-08")

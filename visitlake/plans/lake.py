@@ -190,4 +190,4 @@ def erase_from_table(spark: SparkSession, table: str, month_column: str, months:
 
 
 def _nothing_new(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("status: no new source files", 0), ("source_rows", 0)], "metric string, value bigint")
+    return spark.createDataFrame([("status: nothing new landed", 0), ("source_rows", 0)], "metric string, value bigint")
