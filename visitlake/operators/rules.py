@@ -1,7 +1,8 @@
 """Quality rules: the first failing rule is the recorded reason, and one failing click rejects its whole visit.
 
 A rule that cannot be decided counts as failed. The rules come in this order: required fields, real date, seven code
-ranges, the landing month where there is one, contiguous click numbers, time on the real date, increasing time, another click of the visit rejected.
+ranges, the landing month where there is one, contiguous click numbers, time on the real date, increasing time, another
+click of the visit rejected.
 
 Rules about one row are plain expressions. Rules about neighbours look at one piece of a visit at a time
 (``sequence``), on four narrow columns. What a visit needs to know about its other clicks is the short list of failing

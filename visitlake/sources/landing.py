@@ -125,7 +125,8 @@ def erase_visit_lines(spark: SparkSession, landing: str, months: list[str], visi
 
 def only_header(lines: DataFrame) -> str:
     """The header that all files share. Files with another one would have their fields at other places."""
-    found = [row["line"] for row in lines.select("line").filter(F.col("line").contains(S.SOURCE_VISIT_COLUMN)).distinct().limit(2).collect()]
+    headers = lines.select("line").filter(F.col("line").contains(S.SOURCE_VISIT_COLUMN)).distinct().limit(2)
+    found = [row["line"] for row in headers.collect()]
     if len(found) != 1:
         raise LandingError(f"the landed files must share one header line; found {found}")
     return found[0]
