@@ -11,7 +11,6 @@ A bucket of more than ``TILE`` members is dealt out in slices, each two of which
 """
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
