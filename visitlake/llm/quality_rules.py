@@ -105,7 +105,9 @@ def judge(docs: DataFrame, text_column: str = "text", max_lost: float = 0.5) ->
             .alias("clean_text"))
 
     measured = let(words_of(text), lambda words: let(F.split(text, "\n"), lambda lines: counted(words, lines)))
-    return docs.withColumn("quality", let(measured, verdict))
+    others = [F.col(f"`{name}`") for name in docs.columns if name != "quality"]
+    # As a generator's output the struct is made once per row, also where a filter and several columns use it.
+    return docs.select(*others, F.explode(F.array(let(measured, verdict))).alias("quality"))
 
 
 def clean(docs: DataFrame, text_column: str = "text") -> DataFrame:
