@@ -23,6 +23,7 @@ from visitlake.session import staged
 
 TILE = 4096
 SHINGLES_AT_ONCE = 255 * 256
+TEXTS_AT_ONCE = 256
 
 
 def masks(radius: int) -> list[int]:
@@ -196,7 +197,7 @@ def text_prints(docs: DataFrame, prints: int, words: int, text_column: str) -> D
     but the set of words only with the word itself: so close texts have closer fingerprints of words than of runs.
     """
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, TEXTS_AT_ONCE)):
             nodes, fingerprints_, shingles = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 found = words_of(text)

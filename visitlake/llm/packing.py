@@ -25,7 +25,7 @@ from visitlake.llm.bpe import ChunkedText
 
 TEXTS_AT_ONCE = 256
 CHUNKS_AT_ONCE = 128
-CHUNKS_KEPT = 700_000
+CHUNKS_KEPT = 350_000
 
 
 def differencing(sizes: list[int], ways: int) -> list[tuple[int, list[int]]]:
