@@ -104,6 +104,28 @@ def test_kept_documents_equal_brute_force(spark, texts, tile):
     assert covering_simhash.drop_near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tile", [1024, 4])
+def test_added_and_cut_passages_are_found(spark, tile):
+    """Production defaults on copies that lie beyond all fingerprints; a group of many and pairs, and texts too far apart."""
+    draw = random.Random(8)
+
+    def words(count):
+        return ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(count)]
+
+    texts, groups = [], []
+    for number in range(30):
+        base = words(120)
+        others = [base + words(18), base[:102], words(17) + base] if number else [base + words(12) for _ in range(12)]
+        groups.append(range(len(texts), len(texts) + 1 + len(others)))
+        texts += [base, *others]
+    base = words(120)
+    apart = [len(texts), len(texts) + 1]
+    texts += [base, base + words(40)]  # 0.74
+    frame = spark.createDataFrame([(i, " ".join(text)) for i, text in enumerate(texts)], "doc_id bigint, text string")
+    kept = covering_simhash.drop_near_duplicates(frame, tile=tile)
+    assert sorted(row["doc_id"] for row in kept.collect()) == [*(group[0] for group in groups), *apart]
+
+
 def exact_neighbours(rows, queries, k):
     found = []
     for number, vector in queries:
