@@ -1,6 +1,7 @@
 """Quality rules, BPE, packing, toxicity and language on hand-made texts and against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -174,6 +175,21 @@ def test_toxicity_finds_insults_and_generalizes(spark, strange):
     assert len({round(row["score"], 6) for row in toxicity.score(strange, nothing).collect()}) >= 1
 
 
+def test_toxicity_cut_follows_the_mix_of_all_labels(spark):
+    """Half of the toxic texts look like three tenths of the clean ones: worth a hit at equal shares, not at one in nine."""
+    draw = random.Random(2)
+    rows = []
+    for i in range(3600):
+        toxic = i % 9 == 0
+        kind = draw.random()
+        word = ("awful" if kind < 0.5 else "maybe") if toxic else ("maybe" if kind < 0.3 else "lovely")
+        rows.append((i, " ".join([word, *draw.choices("one two three four five six seven".split(), k=6)]), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True), per_label=300)
+    scores = model.scores([f"{word} one two three four five six" for word in ("awful", "maybe", "lovely")])
+    assert [score >= toxicity.THRESHOLD for score in scores] == [True, False, False]
+
+
 def test_language_of_words_and_texts(spark, strange):
     draw = np.random.default_rng(1)
     parts = {"aa": ["kolo", "mat", "tik", "sara"], "bb": ["schnu", "wurz", "pfel", "brau"]}
