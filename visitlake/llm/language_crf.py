@@ -210,10 +210,13 @@ def train(samples: list[tuple[str, str]], seed: int = 5, chains: int = 6000, len
 
 def fit(docs: DataFrame, learn: Column, per_language: int = 150, seed: int = 5, text_column: str = "text",
         language_column: str = "lang") -> Model:
-    """Fit to at most ``per_language`` texts of each language, drawn by a hash among the rows for which ``learn`` holds."""
+    """Fit to at most ``per_language`` texts of each language, drawn by a hash among the rows for which ``learn`` holds.
+
+    Every language with labelled texts is learned, so the model grows with their number.
+    """
     rows = docs.filter(learn & F.col(language_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(language_column).alias("language"), F.col(text_column).alias("text"))
-    counted = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(64).collect()
+    counted = rows.groupBy("language").count().orderBy(F.desc("count"), "language").collect()
     draw = F.xxhash64(F.lit(seed), "text")
     # About twice the texts wanted pass a bound on the hash, all of them in one scan; the smallest hashes are taken.
     chance = F.lit(None).cast("double")
