@@ -224,6 +224,14 @@ def test_language_model_learns_all_languages(spark, monkeypatch):
     assert sorted(seen) == sorted(rows)
 
 
+def test_language_model_gives_copies_no_places(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_crf, "train", lambda samples, seed: seen.extend(samples))
+    rows = [(f"l{k:02}", f"text {k} {i}") for k in range(70) for i in range(5)] + [("l00", f"many {i % 3}") for i in range(6000)]
+    language_crf.fit(spark.createDataFrame(rows, "lang string, text string"), F.lit(True), per_language=8)
+    assert sorted(seen) == sorted(set(rows))
+
+
 def test_forward_backward_equals_enumeration():
     draw = np.random.default_rng(2)
     scores, moves = draw.normal(size=(1, 5, 3)), draw.normal(size=(3, 3))

@@ -210,22 +210,23 @@ def train(samples: list[tuple[str, str]], seed: int = 5, chains: int = 6000, len
 
 def fit(docs: DataFrame, learn: Column, per_language: int = 150, seed: int = 5, text_column: str = "text",
         language_column: str = "lang") -> Model:
-    """Fit to at most ``per_language`` texts of each language, drawn by a hash among the rows for which ``learn`` holds.
+    """Fit to at most ``per_language`` different texts of each language, drawn by a hash among the rows for which ``learn`` holds.
 
     Every language with labelled texts is learned, so the model grows with their number.
     """
     rows = docs.filter(learn & F.col(language_column).isNotNull() & F.col(text_column).isNotNull()).select(
-        F.col(language_column).alias("language"), F.col(text_column).alias("text"))
-    counted = rows.groupBy("language").count().orderBy(F.desc("count"), "language").collect()
-    draw = F.xxhash64(F.lit(seed), "text")
+        F.col(language_column).alias("language"), F.col(text_column).alias("text"),
+        F.xxhash64(F.lit(seed), F.col(text_column)).alias("draw"))
+    counted = rows.groupBy("language").agg(F.count_distinct("draw").alias("texts")).collect()
+    if not counted:
+        return train([], seed)
     # About twice the texts wanted pass a bound on the hash, all of them in one scan; the smallest hashes are taken.
-    chance = F.lit(None).cast("double")
-    for row in counted:
-        chance = F.when(F.col("language") == row["language"], min(1.0, 2 * per_language / row["count"])).otherwise(chance)
-    few = rows.withColumn("draw", draw).filter(F.col("draw") <= (2 * chance - 1) * float(2 ** 63))
-    taken = few.orderBy("draw", "text").limit(3 * per_language * max(1, len(counted))).collect()
+    bounds = [(row["language"], (2 * min(1.0, 2 * per_language / row["texts"]) - 1) * float(2 ** 63)) for row in counted]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "language string, bound double"))
+    taken = (rows.join(bounds, "language").filter("draw <= bound").groupBy("language", "draw").agg(F.min("text").alias("text"))
+             .collect())
     kept: dict[str, list[str]] = {}
-    for row in taken:
+    for row in sorted(taken, key=lambda row: (row["draw"], row["text"])):
         if len(kept.setdefault(row["language"], [])) < per_language:
             kept[row["language"]].append(row["text"])
     return train([(language, text) for language, texts in sorted(kept.items()) for text in texts], seed)
