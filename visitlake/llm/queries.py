@@ -4,10 +4,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, covering_simhash, dimension_scan, language_crf, packing, quality_rules, reply_trees, toxicity, two_pass_shuffle, url_filter
+from visitlake.llm import (
+    bpe, covering_simhash, dimension_scan, language_crf, packing, prefix_trie, quality_rules, reply_trees, source_mix,
+    token_alignment, toxicity, two_pass_shuffle, url_filter,
+)
 from visitlake.session import scratch_folder, staged
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +100,31 @@ def op10_language(spark, sf_dir):
         "doc_id", "held_out", "lang_pred", "score")
 
 
+MIX_WEIGHTS = (3, 1, 2)
+
+
+def op11_mix(spark, sf_dir):
+    mixture = source_mix.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
+    return mixture.taken().select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op12_alignment(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
+def op13_prefix_trie(spark, sf_dir):
+    """Conversations begin with the first turns of the first of their hundred, as many as their number says."""
+    own = staged(prefix_trie.turns_of(table(spark, sf_dir, "conversations")), "turns")
+    conv_id = F.col("conv_id")
+    heads = own.select(conv_id.alias("first_id"), F.slice("turns", 1, 5).alias("head"))
+    shared = (F.crc32(conv_id.cast("string")) % 6).cast("int")
+    head = F.when(F.col("head").isNotNull(), F.slice("head", F.lit(1), shared)).otherwise(F.array().cast(own.schema["turns"].dataType))
+    rest = F.slice("turns", shared + 1, F.greatest(F.size("turns") - shared, F.lit(0)))
+    rebuilt = (own.withColumn("first_id", conv_id - conv_id % 100).join(heads, "first_id", "left")
+               .select("conv_id", F.concat(head, rest).alias("turns")))
+    return prefix_trie.prefix_trie(rebuilt)
+
+
 def queries():
     return {
         "op1_quality": op1_quality,
@@ -108,6 +137,9 @@ def queries():
         "op8_shuffle": op8_shuffle,
         "op9_toxicity": op9_toxicity,
         "op10_language": op10_language,
+        "op11_mix": op11_mix,
+        "op12_alignment": op12_alignment,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -190,8 +222,50 @@ FROM joined
 """
 
 
+# crc32 bit by bit; a node is named by the digest of its first turns.
+TRIE_SQL = r"""
+WITH rows AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS first_id, xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+            lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM rows)),
+turns AS (
+    SELECT c.conv_id, r.n, r.role, r.text FROM convs c JOIN rows r ON r.conv_id = c.first_id AND r.n <= c.h
+    UNION ALL SELECT c.conv_id, r.n, r.role, r.text FROM convs c JOIN rows r ON r.conv_id = c.conv_id AND r.n > c.h),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n) AS depth, count(*) OVER (PARTITION BY conv_id) AS depths,
+           length(text) AS chars FROM turns),
+paths AS (
+    SELECT conv_id, depth, depths, chars, sha256(string_agg(sha256(length(role) || ':' || role || text), '')
+        OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM placed),
+members AS (
+    SELECT conv_id, depth, chars, node, depth = depths AS ends,
+           coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS parent FROM paths
+    UNION ALL SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM placed), NULL FROM convs),
+nodes AS (
+    SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(chars) AS chars, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), ''))
+           AS ends_sha256 FROM members GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (node)),
+below AS (
+    SELECT DISTINCT a.node AS top, b.node FROM members a JOIN members b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (
+    SELECT top AS node, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+    FROM below JOIN counted USING (node) GROUP BY top)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s USING (node) LEFT JOIN counted p ON p.node = c.parent
+"""
+
+
 def oracle_sql():
     return {
+        "op13_prefix_trie": TRIE_SQL,
         "op3_urls": URLS_SQL,
         "op6_conversations": CONVERSATIONS_SQL,
         "op1_quality": QUALITY_SQL,
