@@ -55,6 +55,17 @@ def _rate() -> Column:
     return F.round(F.sum("bounced").cast("double") / F.sum("visits"), 4)
 
 
+def by_day(rollup: DataFrame) -> DataFrame:
+    """Rows by day, in which every visit and every clean click is counted once."""
+    return _of(rollup, DAY)
+
+
+def mismatched_clicks(product_months: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows of the product roll-up whose category is not the product's."""
+    known = products.select("product_code", F.col("category").alias("product_category"))
+    return product_months.join(known, "product_code").filter("category <> product_category")
+
+
 def daily_visits(rollup: DataFrame) -> DataFrame:
     return (_of(rollup, DAY).groupBy("visit_date")
             .agg(_rate().alias("bounce_rate"), F.sum("visits").alias("visits"), F.sum("clicks").alias("clicks"))

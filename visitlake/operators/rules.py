@@ -32,6 +32,12 @@ def row_rules() -> list[tuple[str, str]]:
     return [(S.MISSING_FIELD, missing), (S.INVALID_DATE, "_real_date IS NULL"), *ranges]
 
 
+def all_reasons() -> list[str]:
+    """Every reason that a reject can have."""
+    return [reason for reason, _ in row_rules()] + [
+        S.OTHER_MONTH, S.NOT_CONTIGUOUS, S.OUTSIDE_DATE, S.NOT_INCREASING, S.OTHER_CLICK]
+
+
 def with_row_rules(clicks: DataFrame) -> DataFrame:
     """Add what each row shows by itself.
 

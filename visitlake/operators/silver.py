@@ -1,9 +1,10 @@
 """Silver: one clean, decoded row per click; failing clicks are kept with a reason."""
 
+import uuid
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
@@ -21,17 +22,33 @@ class Silver:
     """Clean clicks, rejects and the number of resends of a Bronze frame, each built when it is asked for.
 
     The rows left without resends are written to the scratch folder with their findings, and so are the failing clicks.
-    All outputs read those: Bronze is read once and resends are removed once, however many outputs follow.
+    All outputs read those: Bronze is read once and resends are removed once, however many outputs follow. Rows of erased
+    visits, if a list of them is given, are left out there. ``counts``, once the rows are judged, has ``judged_rows`` (all
+    rows left without resends) and ``erased_rows`` (those of erased visits among them), as the write itself observed them.
     """
 
-    def __init__(self, bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS):
-        self._bronze, self._run_time, self._bits = bronze, run_time, bits
+    def __init__(self, bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS, erased: DataFrame | None = None):
+        self._bronze, self._run_time, self._bits, self._erased = bronze, run_time, bits, erased
+        self._observed = Observation(f"judged-{uuid.uuid4().hex}")
 
     @cached_property
     def _judged(self) -> tuple[DataFrame, DataFrame]:
-        rows = staged(judge(self._bronze), "judged")
+        judged = judge(self._bronze)
+        if self._erased is None:
+            marked = judged.withColumn("_erased", F.lit(False))
+        else:
+            listed = self._erased.select("visit_id").distinct().withColumn("_erased", F.lit(True))
+            marked = judged.join(listed, "visit_id", "left").withColumn("_erased", F.coalesce("_erased", F.lit(False)))
+        # Observed behind the last shuffle, in the stage that writes.
+        observed = marked.observe(self._observed, F.count("*").alias("judged_rows"), F.count_if("_erased").alias("erased_rows"))
+        rows = staged(observed.filter("NOT _erased").select(judged.columns), "judged")
         return rows.filter(has_identity()), rows.filter(~has_identity())
 
+    @property
+    def counts(self) -> dict[str, int]:
+        self._judged  # noqa: B018  the write is what is observed
+        return self._observed.get
+
     @cached_property
     def problems(self) -> DataFrame:
         return staged(find_problems(*self._judged, self._bits), "problems")
@@ -57,9 +74,9 @@ def judge(bronze: DataFrame) -> DataFrame:
     return remove_resends(with_row_rules(bronze))
 
 
-def build_silver(bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS) -> Silver:
+def build_silver(bronze: DataFrame, run_time: datetime, bits: int = PIECE_BITS, erased: DataFrame | None = None) -> Silver:
     """Bronze to clean clicks and rejects. ``bits`` is the size of the pieces that ordered rules look at."""
-    return Silver(bronze, run_time, bits)
+    return Silver(bronze, run_time, bits, erased)
 
 
 def clean_clicks(clicks: DataFrame, problems: DataFrame) -> DataFrame:

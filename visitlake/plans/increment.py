@@ -1,9 +1,10 @@
 """One increment: raw rows of whole months to Bronze, Silver and Gold frames."""
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
@@ -25,6 +26,7 @@ class Increment:
     silver: Silver
     gold_clicks: DataFrame
     visits: DataFrame
+    bronze_rows: int
 
 
 def source_months(source: DataFrame) -> DataFrame:
@@ -37,17 +39,18 @@ def build_bronze(source: DataFrame, received_time: datetime, seed: int = S.DEFAU
 
 
 def build_increment(raw: DataFrame, received_time: datetime, run_time: datetime | None = None,
-                    seed: int = S.DEFAULT_SEED) -> Increment:
+                    seed: int = S.DEFAULT_SEED, erased: DataFrame | None = None) -> Increment:
     """Frames of every layer for the months of the raw rows.
 
-    Bronze feeds several outputs, so it is written to the scratch folder once. A landing month in the raw rows is carried
-    along, and a row of another month is rejected.
+    Bronze feeds several outputs, so it is written to the scratch folder once and counted by that write. A landing month in
+    the raw rows is carried along, and a row of another month is rejected. Rows of erased visits go no further than Bronze.
     """
     source = to_plain_columns(raw, keep=("source_month",) if "source_month" in raw.columns else ())
-    bronze = staged(build_bronze(source, received_time, seed), "bronze")
-    silver = build_silver(bronze, run_time or received_time)
+    counted = Observation(f"bronze-{uuid.uuid4().hex}")
+    bronze = staged(build_bronze(source, received_time, seed).observe(counted, F.count("*").alias("bronze_rows")), "bronze")
+    silver = build_silver(bronze, run_time or received_time, erased=erased)
     return Increment(source, bronze, source_months(bronze), silver,
-                     build_gold_clicks(silver.clicks), build_visits(silver.clicks))
+                     build_gold_clicks(silver.clicks), build_visits(silver.clicks), counted.get["bronze_rows"])
 
 
 def build_whole_dataset(spark: SparkSession, product_months: DataFrame, click_days: DataFrame,

@@ -1,26 +1,29 @@
 """Lake runs: process new files, rebuild what depends on every month, report, erase visits, compact."""
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
+from visitlake.functions import source_month
 from visitlake.operators import rollups
 from visitlake.operators.erasure import deleted_visit_ids, remove_deleted_visits
 from visitlake.operators.gold import build_gold_clicks, build_visits
-from visitlake.operators.quality import category_mismatches, metric, rejections_by_reason
+from visitlake.operators.quality import metric
+from visitlake.operators.rules import all_reasons
 from visitlake.operators.silver import add_weekend_click
-from visitlake.plans.increment import Increment, build_increment, build_whole_dataset, month_filter
+from visitlake.plans.increment import build_increment, build_whole_dataset, month_filter
 from visitlake.session import run_scratch, staged
 from visitlake.sources.landing import erase_visit_lines
 from visitlake.sources.ledger import mark_processed, new_files, touched_months
 from visitlake.sources.raw_clicks import read_raw_clicks, to_plain_columns, utc_literal
 from visitlake.sources.tables import (
-    LakeTables, fit_to_table, replace_months_in_table, write_whole,
+    NEW, LakeTables, fit_to_table, remove_old_versions, replace_months_in_table, write_whole,
 )
 
 CLICK_ORDER = ["visit_id", "click_number_in_visit"]
@@ -56,26 +59,84 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
                   months: list[str] | None = None, seed: int = S.DEFAULT_SEED) -> DataFrame:
     """Replace the months of the raw rows in every layer, rebuild the whole-dataset tables and report.
 
-    The frame must hold whole months, and only those months are written. A row whose date lies outside its landing month
-    becomes a reject; if rows without a landing month lie outside the given months, the run stops before it writes. A
-    month that ends up empty in a layer is removed there. Everything staged on the way is removed at the end.
+    The frame must hold whole months, and only those months are rebuilt. A verdict depends on all clicks of a visit, so the
+    visits of these months, as they are now and as they were before, are judged with their clicks of all other landed months
+    (see ``linked_clicks``). Of those months just the rows of these visits are replaced; they count as received by this run.
+    One run, several runs and a run after an erasure therefore give the same rows. Rows without a landing month come
+    without that context.
+
+    A row whose date lies outside its landing month becomes a reject; if rows without a landing month lie outside the given
+    months, the run stops before it writes. A month that ends up empty in a layer is removed there. Everything staged on the
+    way is removed at the end.
     """
     with run_scratch(spark):
         if not raw.columns or raw.isEmpty():
             return _nothing_new(spark)
         tables = lake.tables
-        increment = build_increment(raw, run_time, seed=seed)
-        silver = increment.silver
-        months = months or sorted(row[0] for row in increment.source_months.collect())
-        deleted = deleted_visit_ids(spark.table(tables.deleted_visits))
-        clicks = add_weekend_click(remove_deleted_visits(silver.clicks, deleted))
-        rejected = remove_deleted_visits(silver.rejected, deleted)
-        _stop_at_unread_months(clicks, "click_month", months)
-        _stop_at_unread_months(rejected, "source_month", months)
-        together(lambda: replace_months_in_table(clicks, tables.clicks, months, CLICK_ORDER),
-                 lambda: replace_months_in_table(rejected, tables.rejected, months, CLICK_ORDER))
-        refresh_gold(spark, lake, months)
-        return run_report(spark, lake, raw, increment, deleted, months)
+        for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
+            remove_old_versions(spark, table)
+        landed = staged(visit_months_of(raw), "landed-visits")
+        months = months or sorted(row[0] for row in landed.select("source_month").distinct().collect())
+        before = month_filter(spark.table(tables.landed_visits), "source_month", months)
+        affected = staged(landed.select("visit_id").unionByName(before.select("visit_id")).filter("visit_id IS NOT NULL").distinct(),
+                          "affected-visits")
+        linked, context = linked_clicks(spark, lake, affected, months) if "source_month" in raw.columns else ([], None)
+        deleted = staged(deleted_visit_ids(spark.table(tables.deleted_visits)), "deleted-visits")
+        increment = build_increment(raw if context is None else raw.unionByName(context), run_time, seed=seed, erased=deleted)
+        silver, written = increment.silver, sorted({*months, *linked})
+        clicks, rejected = add_weekend_click(silver.clicks), silver.rejected
+        _stop_at_unread_months(clicks, "click_month", written)
+        _stop_at_unread_months(rejected, "source_month", written)
+        found = {"source_rows": landed.agg(F.sum("rows")).first()[0], "bronze_rows": increment.bronze_rows}
+        if context is not None:
+            found["context_rows"] = increment.bronze_rows - found["source_rows"]
+        observed = [Observation(f"{name}-{uuid.uuid4().hex}") for name in ("clicks", "rejected")]
+        new = F.col(NEW)
+        reasons = [F.count_if(new & (F.col("rejection_reason") == reason)).alias(reason) for reason in all_reasons()]
+
+        def others(table: str, column: str) -> DataFrame | None:
+            """Rows of linked months that belong to other visits."""
+            kept = month_filter(spark.table(table), column, linked).join(affected, "visit_id", "left_anti")
+            return kept if linked else None
+
+        together(
+            lambda: replace_months_in_table(clicks, tables.clicks, written, CLICK_ORDER, others(tables.clicks, "click_month"),
+                                            observed[0], (F.count_if(new).alias("silver_clicks"),)),
+            lambda: replace_months_in_table(rejected, tables.rejected, written, CLICK_ORDER, others(tables.rejected, "source_month"),
+                                            observed[1], (F.count_if(new).alias("rejected_rows"), *reasons)),
+            lambda: replace_months_in_table(_index(landed, deleted), tables.landed_visits, months, ["visit_id"]))
+        found |= silver.counts | observed[0].get | observed[1].get
+        found |= refresh_gold(spark, lake, written, affected)
+        return run_report(spark, lake, found, months, written)
+
+
+def visit_months_of(raw: DataFrame) -> DataFrame:
+    """``visit_id``, ``source_month``, ``rows``: the rows of each visit in each landing month of raw rows."""
+    with_month = "source_month" in raw.columns
+    plain = to_plain_columns(raw, keep=("source_month",) if with_month else ())
+    month = F.col("source_month") if with_month else source_month()
+    return plain.groupBy("visit_id", month.alias("source_month")).agg(F.count("*").alias("rows"))
+
+
+def _index(landed: DataFrame, deleted: DataFrame) -> DataFrame:
+    return remove_deleted_visits(landed.filter("visit_id IS NOT NULL").select("visit_id", "source_month"), deleted)
+
+
+def linked_clicks(spark: SparkSession, lake: Lake, visits: DataFrame, months: list[str]) -> tuple[list[str], DataFrame | None]:
+    """Other landed months that hold clicks of the visits, and those clicks as raw rows.
+
+    The table of landed visits tells them: narrow, sorted by visit, one row per visit and month. Raw files of other
+    months are not read, and of these months only the visits' rows are kept.
+    """
+    index = spark.table(lake.tables.landed_visits)
+    hits = staged(index.filter(~F.col("source_month").isin(months)).join(visits, "visit_id", "left_semi"), "linked-visits")
+    linked = sorted(row[0] for row in hits.select("source_month").distinct().collect())
+    if not linked:
+        return [], None
+    raw = read_raw_clicks(spark, lake.landing, linked)
+    visit = F.col(f"`{S.SOURCE_VISIT_COLUMN}`").try_cast("bigint")
+    wanted = hits.select(F.col("visit_id").alias("_visit")).distinct()
+    return linked, raw.join(wanted, visit == F.col("_visit"), "left_semi")
 
 
 def _stop_at_unread_months(rows: DataFrame, month_column: str, months: list[str]) -> None:
@@ -84,14 +145,20 @@ def _stop_at_unread_months(rows: DataFrame, month_column: str, months: list[str]
         raise UnreadMonthError(f"rows of {other[0][0]} are in a run over {months}; nothing was written")
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, months: list[str]) -> None:
+def refresh_gold(spark: SparkSession, lake: Lake, months: list[str], affected: DataFrame) -> dict[str, int]:
     """Gold and roll-ups of the given months from the Silver just written, then every whole-dataset table.
 
-    The cost follows the given months: the whole-dataset tables are merged from the roll-ups.
+    Rows of visits other than the affected ones stay as they are, since a visit may have clicks in months that are not
+    read. The cost follows the given months: the whole-dataset tables are merged from the roll-ups. Gives the number of
+    affected visits and of those with one click, as their write observed them.
     """
     tables = lake.tables
     clicks = month_filter(spark.table(tables.clicks), "click_month", months)
-    replace_months_in_table(build_visits(clicks), tables.gold_visits, months, ["visit_id"])
+    rebuilt = build_visits(clicks.join(affected, "visit_id", "left_semi"))
+    kept = month_filter(spark.table(tables.gold_visits), "visit_month", months).join(affected, "visit_id", "left_anti")
+    observed, new = Observation(f"visits-{uuid.uuid4().hex}"), F.col(NEW)
+    replace_months_in_table(rebuilt, tables.gold_visits, months, ["visit_id"], kept, observed,
+                            (F.count_if(new).alias("visits"), F.count_if(new & F.col("bounced")).alias("one_click_visits")))
     visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
     together(
         lambda: replace_months_in_table(build_gold_clicks(clicks), tables.gold_clicks, months, CLICK_ORDER),
@@ -101,6 +168,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, months: list[str]) -> None:
     whole = build_whole_dataset(spark, spark.table(tables.product_months), spark.table(tables.click_days),
                                 spark.table(tables.visit_months))
     together(*[lambda frame=frame, name=name: write_whole(frame, f"{lake.gold}/{name}") for name, frame in whole.items()])
+    return observed.get
 
 
 def together(*jobs) -> None:
@@ -110,36 +178,25 @@ def together(*jobs) -> None:
             done.result()
 
 
-def run_report(spark: SparkSession, lake: Lake, raw: DataFrame, increment: Increment, deleted: DataFrame,
-               months: list[str]) -> DataFrame:
-    """``metric, value`` rows of one run. Every count is measured where its rows lie: the source, the staged rows of the
-    run, and the tables it wrote. ``unaccounted`` is what Bronze holds beyond the counted outputs, and must be 0.
+def run_report(spark: SparkSession, lake: Lake, found: dict[str, int], months: list[str], written: list[str]) -> DataFrame:
+    """``metric, value`` rows of one run. No layer is scanned for it: rows were counted by the writes themselves, and what
+    concerns all months is summed from the roll-ups. ``unaccounted`` is what Bronze holds beyond the counted outputs, and
+    must be 0.
     """
-    count, tables, silver = F.count("*"), lake.tables, increment.silver
-    clicks = month_filter(spark.table(tables.clicks), "click_month", months)
-    rejected = month_filter(spark.table(tables.rejected), "source_month", months)
-    visits = month_filter(spark.table(tables.gold_visits), "visit_month", months)
+    tables = lake.tables
     products = spark.read.schema(S.PRODUCTS_SCHEMA).parquet(f"{lake.gold}/products")
-    of_deleted = silver.clicks.select("visit_id").unionByName(silver.rejected.select("visit_id")).join(
-        deleted, "visit_id", "left_semi")
-    counts = reduce(DataFrame.unionByName, [
-        metric(raw, source_rows=count),
-        metric(increment.bronze, bronze_rows=count),
-        metric(silver.duplicates_removed, duplicates_removed=F.sum("duplicates_removed")),
-        metric(of_deleted, deleted_visits_removed=count),
-        metric(rejected, rejected_rows=count),
-        metric(clicks, silver_clicks=count),
-        metric(visits, visits=count, one_click_visits=F.count_if("bounced")),
-        metric(category_mismatches(clicks, products), category_mismatches=count),
-        metric(spark.table(tables.clicks), total_silver_clicks=count),
-        metric(spark.table(tables.gold_visits), total_visits=count),
-    ])
-    found = {row["metric"]: row["value"] for row in counts.collect()}
+    of_months = month_filter(spark.table(tables.product_months), "click_month", written)
+    totals = reduce(DataFrame.unionByName, [
+        metric(rollups.mismatched_clicks(of_months, products), category_mismatches=F.sum("clicks")),
+        metric(rollups.by_day(spark.table(tables.visit_months)), total_silver_clicks=F.sum("clicks"), total_visits=F.sum("visits"))])
+    known = ["source_rows", "context_rows", "bronze_rows", "rejected_rows", "silver_clicks", "visits", "one_click_visits"]
+    values = {name: found[name] for name in known if name in found} | {row["metric"]: row["value"] for row in totals.collect()}
+    values["duplicates_removed"] = found["bronze_rows"] - found["judged_rows"]
+    values["deleted_visits_removed"] = found["erased_rows"]
     outputs = ("duplicates_removed", "deleted_visits_removed", "rejected_rows", "silver_clicks")
-    found["unaccounted"] = found["bronze_rows"] - sum(found[name] for name in outputs)
-    reasons = [(f"rejected: {row['rejection_reason']}", row["rejected"])
-               for row in rejections_by_reason(rejected).collect()]
-    rows = list(found.items()) + reasons + [(f"source_month: {month}", 1) for month in months]
+    values["unaccounted"] = values["bronze_rows"] - sum(values[name] for name in outputs)
+    reasons = [(f"rejected: {reason}", found[reason]) for reason in all_reasons() if found.get(reason)]
+    rows = list(values.items()) + reasons + [(f"source_month: {month}", 1) for month in months]
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 
@@ -172,11 +229,14 @@ def _erase(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_time: dat
     new = entries.join(deleted_visit_ids(spark.table(tables.deleted_visits)), "visit_id", "left_anti")
     staged_entries = staged(new.select(S.ERASED_VISITS_SCHEMA.fieldNames()), "erased-entries")
     fit_to_table(staged_entries, tables.deleted_visits).write.insertInto(tables.deleted_visits)
-    erase_from_table(spark, tables.clicks, "click_month", months, wanted)
-    erase_from_table(spark, tables.rejected, "source_month", months, wanted)
-    refresh_gold(spark, lake, months)
+    for table, column in ((tables.clicks, "click_month"), (tables.rejected, "source_month"), (tables.landed_visits, "source_month")):
+        erase_from_table(spark, table, column, months, wanted)
+    refresh_gold(spark, lake, months, wanted)
     if months:
         erase_visit_lines(spark, lake.landing, months, wanted)
+    # Versions from before the erasure must not outlive it.
+    for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
+        remove_old_versions(spark, table)
     return months
 
 
@@ -186,7 +246,7 @@ def erase_from_table(spark: SparkSession, table: str, month_column: str, months:
     hit = sorted(row[0] for row in present.join(visits, "visit_id", "left_semi").select(month_column).distinct().collect())
     if hit:
         kept = remove_deleted_visits(month_filter(spark.table(table), month_column, hit), visits)
-        replace_months_in_table(staged(kept, "kept-rows"), table, hit, CLICK_ORDER)
+        replace_months_in_table(kept, table, hit, [name for name in CLICK_ORDER if name in kept.columns])
 
 
 def _nothing_new(spark: SparkSession) -> DataFrame:

@@ -187,12 +187,8 @@ generated AS (
   FROM raw LEFT JOIN times USING (visit_id, click_number_in_visit))"""
 LANDED_BRONZE = f"""
 bronze AS (
-  SELECT *, TIMESTAMP '2024-07-02 00:00:00' AS received_time, 'uci553' AS data_source, 0 AS event_id,
-    CASE WHEN {SOURCE_MONTH} IN ('2024-01', '2024-02', '2024-03') THEN 1 ELSE 2 END AS run
+  SELECT *, TIMESTAMP '2024-07-02 00:00:00' AS received_time, 'uci553' AS data_source, 0 AS event_id
   FROM generated)"""
-# Each of two runs judges the rows it was given.
-JUDGED_BY_RUN = (JUDGED.replace("PARTITION BY visit_id", "PARTITION BY run, visit_id")
-                 .replace("PARTITION BY click_id", "PARTITION BY run, click_id"))
 # A run with a list of erased visits: they are counted and left out.
 LISTED_BRONZE = LANDED_BRONZE.replace("bronze AS", "all_bronze AS") + f""",
 listed AS (SELECT DISTINCT visit_id FROM raw WHERE country_code = {ERASED_COUNTRY}),
@@ -201,7 +197,7 @@ bronze AS (SELECT * FROM all_bronze WHERE visit_id NOT IN (SELECT visit_id FROM
 FLOW = [RAW, BRONZE, JUDGED]
 GOLD = FLOW + [VISITS]
 LANDED = [RAW, GENERATED, LANDED_BRONZE, JUDGED]
-LAKE = [RAW, GENERATED, LANDED_BRONZE, JUDGED_BY_RUN, VISITS]
+LAKE = LANDED + [VISITS]
 REPORTED = [RAW, GENERATED, LISTED_BRONZE, JUDGED, VISITS, PRODUCTS]
 
 
