@@ -1,6 +1,7 @@
 """Lake runs: process new files, rebuild what depends on every month, report, erase visits, compact."""
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,7 +19,8 @@ from visitlake.operators.quality import metric
 from visitlake.operators.rules import all_reasons
 from visitlake.operators.silver import add_weekend_click
 from visitlake.plans.increment import build_increment, build_whole_dataset, month_filter
-from visitlake.session import run_scratch, staged
+from visitlake.plans.journal import Journal
+from visitlake.session import run_scratch, scratch_folder, staged
 from visitlake.sources.landing import erase_visit_lines
 from visitlake.sources.ledger import mark_processed, new_files, touched_months
 from visitlake.sources.raw_clicks import read_raw_clicks, to_plain_columns, utc_literal
@@ -38,25 +40,37 @@ class Lake:
     gold: str
     ledger: str
 
+    @property
+    def journal(self) -> str:
+        return f"{self.ledger}-journal"
+
 
 class UnreadMonthError(Exception):
     """Rows belong to a month that the run did not read whole."""
 
 
-def run_new_files(spark: SparkSession, lake: Lake, run_time: datetime, seed: int = S.DEFAULT_SEED) -> DataFrame:
-    """Process landed files that are new or rewritten. The ledger moves forward only after every write succeeded."""
+def run_new_files(spark: SparkSession, lake: Lake, run_time: datetime, seed: int = S.DEFAULT_SEED,
+                  on_step: Callable[[str], None] = lambda step: None) -> DataFrame:
+    """Process landed files that are new or rewritten. The ledger moves forward only after every write succeeded.
+
+    Finished steps are noted in the lake's journal under the set of files. A run that died is repeated from the step that it
+    did not finish, if the same files are new; with other files it starts again. ``on_step`` is told each finished step.
+    """
     with run_scratch(spark):
         files = staged(new_files(spark, lake.landing, lake.ledger), "new-files")
         months = touched_months(files)
         if not months:
             return _nothing_new(spark)
-        report = run_increment(spark, read_raw_clicks(spark, lake.landing, months), lake, run_time, months, seed)
+        run_id = files.agg(F.hex(F.bit_xor(F.xxhash64("path", "modificationTime", "length"))), F.count("*")).first()
+        journal = Journal(spark, lake.journal, f"files-{run_id[0]}-{run_id[1]}")
+        report = run_increment(spark, read_raw_clicks(spark, lake.landing, months), lake, run_time, months, seed, journal, on_step)
         mark_processed(files, lake.ledger)
         return report
 
 
 def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: datetime,
-                  months: list[str] | None = None, seed: int = S.DEFAULT_SEED) -> DataFrame:
+                  months: list[str] | None = None, seed: int = S.DEFAULT_SEED, journal: Journal | None = None,
+                  on_step: Callable[[str], None] = lambda step: None) -> DataFrame:
     """Replace the months of the raw rows in every layer, rebuild the whole-dataset tables and report.
 
     The frame must hold whole months, and only those months are rebuilt. A verdict depends on all clicks of a visit, so the
@@ -67,47 +81,67 @@ def run_increment(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: dat
 
     A row whose date lies outside its landing month becomes a reject; if rows without a landing month lie outside the given
     months, the run stops before it writes. A month that ends up empty in a layer is removed there. Everything staged on the
-    way is removed at the end.
+    way is removed at the end. With a journal, steps that it knows as finished are not done again.
     """
     with run_scratch(spark):
         if not raw.columns or raw.isEmpty():
             return _nothing_new(spark)
-        tables = lake.tables
-        for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
-            remove_old_versions(spark, table)
-        landed = staged(visit_months_of(raw), "landed-visits")
-        months = months or sorted(row[0] for row in landed.select("source_month").distinct().collect())
-        before = month_filter(spark.table(tables.landed_visits), "source_month", months)
-        affected = staged(landed.select("visit_id").unionByName(before.select("visit_id")).filter("visit_id IS NOT NULL").distinct(),
-                          "affected-visits")
-        linked, context = linked_clicks(spark, lake, affected, months) if "source_month" in raw.columns else ([], None)
-        deleted = staged(deleted_visit_ids(spark.table(tables.deleted_visits)), "deleted-visits")
-        increment = build_increment(raw if context is None else raw.unionByName(context), run_time, seed=seed, erased=deleted)
-        silver, written = increment.silver, sorted({*months, *linked})
-        clicks, rejected = add_weekend_click(silver.clicks), silver.rejected
-        _stop_at_unread_months(clicks, "click_month", written)
-        _stop_at_unread_months(rejected, "source_month", written)
-        found = {"source_rows": landed.agg(F.sum("rows")).first()[0], "bronze_rows": increment.bronze_rows}
-        if context is not None:
-            found["context_rows"] = increment.bronze_rows - found["source_rows"]
-        observed = [Observation(f"{name}-{uuid.uuid4().hex}") for name in ("clicks", "rejected")]
-        new = F.col(NEW)
-        reasons = [F.count_if(new & (F.col("rejection_reason") == reason)).alias(reason) for reason in all_reasons()]
-
-        def others(table: str, column: str) -> DataFrame | None:
-            """Rows of linked months that belong to other visits."""
-            kept = month_filter(spark.table(table), column, linked).join(affected, "visit_id", "left_anti")
-            return kept if linked else None
-
-        together(
-            lambda: replace_months_in_table(clicks, tables.clicks, written, CLICK_ORDER, others(tables.clicks, "click_month"),
-                                            observed[0], (F.count_if(new).alias("silver_clicks"),)),
-            lambda: replace_months_in_table(rejected, tables.rejected, written, CLICK_ORDER, others(tables.rejected, "source_month"),
-                                            observed[1], (F.count_if(new).alias("rejected_rows"), *reasons)),
-            lambda: replace_months_in_table(_index(landed, deleted), tables.landed_visits, months, ["visit_id"]))
-        found |= silver.counts | observed[0].get | observed[1].get
-        found |= refresh_gold(spark, lake, written, affected)
-        return run_report(spark, lake, found, months, written)
+        journal = journal or Journal(spark, scratch_folder(spark, "journal"), "run")
+        facts = {}
+        for step, work in (("silver", lambda: _silver_step(spark, raw, lake, run_time, months, seed, journal)),
+                           ("gold", lambda: refresh_gold(spark, lake, facts["written"], journal.kept("affected-visits")))):
+            done = journal.facts(step)
+            if done is None:
+                done = work()
+                journal.finish(step, done)
+                on_step(step)
+            facts |= done
+        report = run_report(spark, lake, facts)
+        journal.forget()
+        return report
+
+
+def _silver_step(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: datetime, months: list[str] | None, seed: int,
+                 journal: Journal) -> dict:
+    """Write Silver and the table of landed visits. Gives the run's months, those written, and the rows that were counted; the
+    affected visits are kept with the journal."""
+    tables = lake.tables
+    for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
+        remove_old_versions(spark, table)
+    landed = staged(visit_months_of(raw), "landed-visits")
+    months = months or sorted(row[0] for row in landed.select("source_month").distinct().collect())
+    # Also those of an attempt that died: it may have changed the table of landed visits already.
+    before = month_filter(spark.table(tables.landed_visits), "source_month", months)
+    known = landed.select("visit_id").unionByName(before.select("visit_id")).filter("visit_id IS NOT NULL").distinct()
+    affected = journal.keep(known, "affected-visits")
+    linked, context = linked_clicks(spark, lake, affected, months) if "source_month" in raw.columns else ([], None)
+    deleted = staged(deleted_visit_ids(spark.table(tables.deleted_visits)), "deleted-visits")
+    increment = build_increment(raw if context is None else raw.unionByName(context), run_time, seed=seed, erased=deleted)
+    silver, written = increment.silver, sorted({*months, *linked})
+    clicks, rejected = add_weekend_click(silver.clicks), silver.rejected
+    _stop_at_unread_months(clicks, "click_month", written)
+    _stop_at_unread_months(rejected, "source_month", written)
+    found = {"months": months, "written": written, "source_rows": landed.agg(F.sum("rows")).first()[0],
+             "bronze_rows": increment.bronze_rows}
+    if context is not None:
+        found["context_rows"] = increment.bronze_rows - found["source_rows"]
+    observed = [Observation(f"{name}-{uuid.uuid4().hex}") for name in ("clicks", "rejected")]
+    new = F.col(NEW)
+    reasons = [F.count_if(new & (F.col("rejection_reason") == reason)).alias(reason) for reason in all_reasons()]
+
+    def others(table: str, column: str) -> DataFrame | None:
+        """Rows of linked months that belong to other visits."""
+        kept = month_filter(spark.table(table), column, linked).join(affected, "visit_id", "left_anti")
+        return kept if linked else None
+
+    together(
+        lambda: replace_months_in_table(clicks, tables.clicks, written, CLICK_ORDER, others(tables.clicks, "click_month"),
+                                        observed[0], (F.count_if(new).alias("silver_clicks"),)),
+        lambda: replace_months_in_table(rejected, tables.rejected, written, CLICK_ORDER, others(tables.rejected, "source_month"),
+                                        observed[1], (F.count_if(new).alias("rejected_rows"), *reasons)))
+    # Last, so that an attempt that dies before it still finds the visits that the months held.
+    replace_months_in_table(_index(landed, deleted), tables.landed_visits, months, ["visit_id"])
+    return found | silver.counts | observed[0].get | observed[1].get
 
 
 def visit_months_of(raw: DataFrame) -> DataFrame:
@@ -178,14 +212,14 @@ def together(*jobs) -> None:
             done.result()
 
 
-def run_report(spark: SparkSession, lake: Lake, found: dict[str, int], months: list[str], written: list[str]) -> DataFrame:
-    """``metric, value`` rows of one run. No layer is scanned for it: rows were counted by the writes themselves, and what
+def run_report(spark: SparkSession, lake: Lake, found: dict) -> DataFrame:
+    """``metric, value`` rows of one run from the facts of its steps. No layer is scanned for it: rows were counted by the writes themselves, and what
     concerns all months is summed from the roll-ups. ``unaccounted`` is what Bronze holds beyond the counted outputs, and
     must be 0.
     """
     tables = lake.tables
     products = spark.read.schema(S.PRODUCTS_SCHEMA).parquet(f"{lake.gold}/products")
-    of_months = month_filter(spark.table(tables.product_months), "click_month", written)
+    of_months = month_filter(spark.table(tables.product_months), "click_month", found["written"])
     totals = reduce(DataFrame.unionByName, [
         metric(rollups.mismatched_clicks(of_months, products), category_mismatches=F.sum("clicks")),
         metric(rollups.by_day(spark.table(tables.visit_months)), total_silver_clicks=F.sum("clicks"), total_visits=F.sum("visits"))])
@@ -196,7 +230,7 @@ def run_report(spark: SparkSession, lake: Lake, found: dict[str, int], months: l
     outputs = ("duplicates_removed", "deleted_visits_removed", "rejected_rows", "silver_clicks")
     values["unaccounted"] = values["bronze_rows"] - sum(values[name] for name in outputs)
     reasons = [(f"rejected: {reason}", found[reason]) for reason in all_reasons() if found.get(reason)]
-    rows = list(values.items()) + reasons + [(f"source_month: {month}", 1) for month in months]
+    rows = list(values.items()) + reasons + [(f"source_month: {month}", 1) for month in found["months"]]
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 

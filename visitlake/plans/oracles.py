@@ -278,6 +278,8 @@ REPORT = totals(
                 " - (SELECT count(*) FROM rejected) - (SELECT count(*) FROM clicks) FROM all_bronze") + f"""
 UNION ALL SELECT 'rejected: ' || rejection_reason, count(*) FROM rejected GROUP BY rejection_reason
 UNION ALL SELECT DISTINCT 'source_month: ' || {SOURCE_MONTH}, 1 FROM raw"""
+LAKE_COUNTS = totals(total_silver_clicks="clicks", total_visits="visits", total_rejected="rejected", products="products", calendar_days="(SELECT DISTINCT click_date FROM clicks)") + "\nUNION ALL\n" + metrics(
+    clicks_of_may="SELECT count(*) FROM clicks WHERE click_month = '2024-05'", weekend_clicks=f"SELECT count(*) FROM clicks WHERE {WEEKEND}", seconds_late="SELECT sum(seconds_late) FROM clicks")
 FROM_SOURCE = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS metric, count(*) AS value, '{scope}' AS scope FROM {table} WHERE {kept}"
     for scope, kept in (("all", "TRUE"), ("without_visit", "visit_id NOT IN (SELECT visit_id FROM picked)"))
@@ -372,7 +374,12 @@ def oracle_sql() -> dict[str, str]:
         "silver_clicks": text(FLOW, f"SELECT {SILVER_LIST} FROM clicks"),
         "synthetic_fields": text([RAW, GENERATED], "SELECT * FROM generated"),
         "increment": text(LANDED + [VISITS], totals(source_rows="bronze", bronze_rows="bronze", silver_clicks="clicks", rejected_rows="rejected", gold_clicks="clicks", visits="visits", source_months=f"(SELECT DISTINCT {SOURCE_MONTH} FROM bronze)")),
-        "run_increment": text(LAKE + [PRODUCTS], totals(total_silver_clicks="clicks", total_visits="visits", total_rejected="rejected", products="products", calendar_days="(SELECT DISTINCT click_date FROM clicks)") + "\nUNION ALL\n" + metrics(clicks_of_may="SELECT count(*) FROM clicks WHERE click_month = '2024-05'", weekend_clicks=f"SELECT count(*) FROM clicks WHERE {WEEKEND}", seconds_late="SELECT sum(seconds_late) FROM clicks")),
+        "run_increment": text(LAKE + [PRODUCTS], LAKE_COUNTS),
+        "stream_increment": text(LAKE + [PRODUCTS], LAKE_COUNTS),
+        "run_resume": text(LAKE + [PRODUCTS], f"SELECT metric, value, stopped_after FROM ({LAKE_COUNTS}) CROSS JOIN (VALUES ('silver'), ('gold')) s(stopped_after)"),
+        "atomic_month": text(FLOW, f"SELECT {SILVER_LIST} FROM clicks"),
+        "file_difference": text(FLOW, "SELECT click_month, status, count(*) AS record_count FROM clicks JOIN (VALUES ('added'), ('removed'), ('unchanged')) s(status) ON CASE click_month WHEN '2024-02' THEN status <> 'unchanged' WHEN '2024-03' THEN status = 'removed' ELSE status = 'unchanged' END GROUP BY ALL"),
+        "silver_file_order": text(LAKE, "SELECT click_month, count(*) AS rows, count(*) FILTER (visit_id IS NULL) AS inversions FROM clicks GROUP BY 1"),
         "erase_visit": text(LANDED + [VISITS, ERASED], f"SELECT {SILVER_LIST} FROM kept"),
         "compact_month": text(FLOW, f"SELECT {SILVER_LIST} FROM clicks"),
         "run_report": text(REPORTED, REPORT),
@@ -412,6 +419,14 @@ UNION ALL
 SELECT 'missing_fact', '1', fact, coalesce(fact = '1', FALSE) FROM (
     SELECT max('1') AS fact FROM rejected WHERE rejection_reason IS NULL)
 UNION ALL
+SELECT 'files_unchanged_across_migration', '0', CAST(count(*) FILTER (click_id IS NULL) AS VARCHAR), count(*) > 0 FROM clicks
+UNION ALL
+SELECT 'files_replaced', '0', CAST(count(*) FILTER (click_id IS NULL) AS VARCHAR), count(*) > 0 FROM clicks
+UNION ALL
+SELECT 'run_input_files', '4', CAST(n AS VARCHAR), n = 4 FROM (
+    SELECT count(DISTINCT month_name) AS n FROM (SELECT printf('%04d-%02d', year, month) AS month_name FROM raw)
+    WHERE month_name NOT IN ('2024-01', '2024-02', '2024-03'))
+UNION ALL
 SELECT 'other_visits_unchanged', '0', CAST(n AS VARCHAR), n = 0 FROM (
     SELECT count(*) FILTER (a IS DISTINCT FROM b) AS n
     FROM (SELECT visit_id, count(*) AS a FROM clicks WHERE visit_id NOT IN (SELECT visit_id FROM picked) GROUP BY 1) x

@@ -8,6 +8,7 @@ folders and catalog databases and return what they read back.
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ from visitlake.plans.increment import build_increment, source_months
 from visitlake.plans.oracles import ERASED_COUNTRY, MONTHS, PICK_SEED
 from visitlake.session import configure, scratch_folder, staged
 from visitlake.sources import event_clicks as fixture
-from visitlake.sources import landing, ledger, raw_clicks, reference, tables
+from visitlake.sources import landing, ledger, manifest, raw_clicks, reference, tables
+from visitlake.streaming.lake_stream import run_batch, run_stream
 from visitlake.streaming.new_files import process_available, stream_raw_clicks
 
 RECEIVED = datetime(2024, 7, 1, 12, 0, tzinfo=timezone.utc)
@@ -353,8 +355,17 @@ def counts_from_source(spark, sf_dir):
     return counted("all", rows).unionByName(counted("without_visit", rows.join(visit, "visit_id", "left_anti")))
 
 
+def _read_again(spark, sf_dir) -> DataFrame:
+    """Months of the files that a second run reads after a second landing, which leaves the first months' files alone."""
+    source, folder = _landed(spark, sf_dir, MONTHS[:3])
+    seen = f"{folder}-ledger"
+    ledger.mark_processed(ledger.new_files(spark, folder, seen), seen)
+    landing.land_months(spark, source, folder, LANDED, "first delivery")
+    return ledger.new_files(spark, folder, seen).agg(F.count_distinct("source_month").alias("value"))
+
+
 def gate_checks(spark, sf_dir):
-    """Seven release checks; some fail here: rejects exist, a fact is missing, and only two months were migrated."""
+    """Ten release checks; some fail here: rejects exist, a fact is missing, and only two months were migrated."""
     clean, bad, whole = (read(spark, sf_dir) for read in (stored_clicks, stored_rejected, stored_visits))
     grain = clean.groupBy(F.col("click_month").alias("month")).agg(F.count_distinct("visit_id").alias("visits"))
     built = whole.groupBy(F.col("visit_month").alias("month")).agg(F.count("*").alias("visits"))
@@ -365,9 +376,21 @@ def gate_checks(spark, sf_dir):
     nothing = bad.filter("rejection_reason IS NULL").select(F.lit(1).alias("value"))
     of_others = [frame.join(picked_visit, "visit_id", "left_anti").groupBy("visit_id").agg(F.count("*").alias("clicks"))
                  for frame in (clean, kept)]
+    table = _silver_table(spark, sf_dir)
+    before = staged(manifest.file_manifest(spark.table(table)), "manifest")
+    tables.add_column(spark, table, "weekend_click", "boolean")
+    migrated = staged(manifest.manifest_difference(before, manifest.file_manifest(spark.table(table))), "difference")
+    for month in MONTHS:
+        tables.compact_month(spark, table, month)
+    compacted = manifest.manifest_difference(before, manifest.file_manifest(spark.table(table)))
+    read_again = _read_again(spark, sf_dir)
     erased_rows = clean.join(picked_visit, "visit_id", "left_semi").select(F.lit(-1).alias("rows"))
     expected_rows = clean.select(F.lit(1).alias("rows")).unionByName(erased_rows).agg(F.sum("rows")).scalar()
     return checks.all_checks([
+        checks.check("files_unchanged_across_migration", F.lit(0), manifest.files_with_status(
+            migrated, manifest.CHANGED, manifest.ADDED, manifest.REMOVED)),
+        checks.check("files_replaced", F.lit(0), manifest.files_with_status(compacted, manifest.UNCHANGED, manifest.CHANGED)),
+        checks.check("run_input_files", F.lit(len(LANDED) - 3), read_again),
         checks.check_counts("other_visits_unchanged", *of_others, "visit_id", "clicks"),
         checks.check("final_clicks", expected_rows, kept.agg(F.count("*").alias("value"))),
         checks.check_counts("visits_match_clicks", grain, built, "month", "visits"),
@@ -435,9 +458,7 @@ def run_report(spark, sf_dir):
     return lakes.run_new_files(spark, lake, RUN_TIME)
 
 
-def run_increment(spark, sf_dir):
-    """Counts of the lake after two runs."""
-    lake = lake_of(spark, sf_dir)
+def _lake_counts(spark, lake) -> DataFrame:
     count, silver_clicks = F.count("*"), spark.table(lake.tables.clicks)
     return checks.all_checks([
         quality.metric(silver_clicks, total_silver_clicks=count, weekend_clicks=F.count_if("weekend_click"),
@@ -449,6 +470,75 @@ def run_increment(spark, sf_dir):
     ])
 
 
+def run_increment(spark, sf_dir):
+    """Counts of the lake after two runs."""
+    return _lake_counts(spark, lake_of(spark, sf_dir))
+
+
+def stream_increment(spark, sf_dir):
+    """Counts of a lake that the file stream filled in two goes. The second go's first batch is then handed over again."""
+    lake, source = _new_lake(spark, sf_dir, MONTHS[:3])
+    checkpoint = f"{lake.landing}-checkpoint"
+    run_stream(spark, lake, checkpoint, RUN_TIME)
+    landing.land_months(spark, source, lake.landing, LANDED, "first delivery")
+    run_stream(spark, lake, checkpoint, RUN_TIME)
+    listed = ledger.list_files(spark, lake.landing).filter(~F.col("source_month").isin(MONTHS[:3]))
+    run_batch(listed.select("source_month", "path", F.col("modificationTime").alias("time")), 1, lake, RUN_TIME)
+    return _lake_counts(spark, lake)
+
+
+class _Stopped(Exception):
+    """The run was stopped on purpose."""
+
+
+def run_resume(spark, sf_dir):
+    """Counts of lakes whose run over all months was stopped after each step in turn and then called again."""
+    counted = []
+    for stop in ("silver", "gold"):
+        lake, _ = _new_lake(spark, sf_dir, LANDED)
+
+        def on_step(step, stop=stop):
+            if step == stop:
+                raise _Stopped(step)
+
+        try:
+            lakes.run_new_files(spark, lake, RUN_TIME, on_step=on_step)
+        except _Stopped:
+            lakes.run_new_files(spark, lake, RUN_TIME)
+        counted.append(_lake_counts(spark, lake).withColumn("stopped_after", F.lit(stop)))
+    return checks.all_checks(counted)
+
+
+def atomic_month(spark, sf_dir):
+    """The replacement of a month fails while it writes; the table still has the month's old rows."""
+    table = _silver_table(spark, sf_dir)
+    price = F.when(F.col("page_number_in_shop") == 5, F.raise_error(F.lit("stopped on purpose"))).otherwise(F.lit(0))
+    february = spark.table(table).filter("click_month = '2024-02'").withColumn("price_usd", price.cast("bigint"))
+    try:
+        tables.write_months_to_table(february, table)
+    except PySparkException as error:
+        if "stopped on purpose" not in str(error):
+            raise
+    return spark.table(table).select(S.SILVER_COLUMNS)
+
+
+def file_difference(spark, sf_dir):
+    """Rows of each month by what became of their files, after one month was written again and another one was removed."""
+    table = _silver_table(spark, sf_dir)
+    before = staged(manifest.file_manifest(spark.table(table), "click_month"), "manifest")
+    tables.compact_month(spark, table, "2024-02")
+    tables.replace_months_in_table(spark.table(table).limit(0), table, ["2024-03"])
+    after = manifest.file_manifest(spark.table(table), "click_month")
+    return (manifest.manifest_difference(before, after, "click_month").groupBy("click_month", "status")
+            .agg(F.sum("record_count").alias("record_count")))
+
+
+def silver_file_order(spark, sf_dir):
+    """Rows of each month of a lake's Silver, and how many of them have a smaller key than the row before them in their file."""
+    stored = spark.table(lake_of(spark, sf_dir).tables.clicks)
+    return manifest.order_in_files(stored, lakes.CLICK_ORDER, "click_month")
+
+
 def erase_visit(spark, sf_dir):
     """Visits of unidentified origin are erased from every layer, then the rewritten months are run again."""
     lake, _ = _new_lake(spark, sf_dir, LANDED)
@@ -554,6 +644,11 @@ def queries():
         "increment": increment,
         "run_increment": run_increment,
         "run_report": run_report,
+        "run_resume": run_resume,
+        "stream_increment": stream_increment,
+        "atomic_month": atomic_month,
+        "file_difference": file_difference,
+        "silver_file_order": silver_file_order,
         "lake_products": lake_table("products"),
         "lake_calendar": lake_table("calendar_days"),
         "lake_daily_visits": lake_table("summaries/daily_visits"),
