@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import covering_simhash, language_crf, packing, quality_rules
+from visitlake.llm import language_crf, near_copies, packing, quality_rules
 from visitlake.llm.queries import VOCABULARY, fold, table
 from visitlake.session import scratch_folder
 
@@ -38,7 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group whose runs of five words are common to 0.8 or more."""
-    return covering_simhash.drop_near_duplicates(docs)
+    return near_copies.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
