@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlake.llm import components, covering_simhash, dimension_scan, reply_trees, two_pass_shuffle, url_filter
+from visitlake.llm import components, covering_simhash, dimension_scan, near_copies, reply_trees, two_pass_shuffle, url_filter
 from visitlake.llm.queries import URL_RULES
 
 
@@ -88,7 +88,7 @@ def test_near_duplicates_equal_brute_force(spark, texts, tile, monkeypatch):
 @pytest.mark.parametrize("tile", [1024, 4])
 def test_kept_documents_equal_brute_force(spark, texts, tile):
     frame = spark.createDataFrame([(i, text, 1, "x") for i, text in texts], "doc_id bigint, text string, node int, key string")
-    kept = covering_simhash.drop_near_duplicates(frame, tile=tile, prints=6)
+    kept = near_copies.drop_near_duplicates(frame, tile=tile, prints=6)
     assert kept.columns == frame.columns
     sets = {}
     for _, text in texts:
@@ -101,7 +101,7 @@ def test_kept_documents_equal_brute_force(spark, texts, tile):
         group, key = root[tuple((text or "").lower().split())], (number is None, number or 0)
         least[group] = min(key, least.get(group, key))
     assert sorted(row["doc_id"] for row in kept.collect()) == sorted(number for _, number in least.values())
-    assert covering_simhash.drop_near_duplicates(frame.limit(0)).count() == 0
+    assert near_copies.drop_near_duplicates(frame.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("tile", [1024, 4])
@@ -122,7 +122,7 @@ def test_added_and_cut_passages_are_found(spark, tile):
     apart = [len(texts), len(texts) + 1]
     texts += [base, base + words(40)]  # 0.74
     frame = spark.createDataFrame([(i, " ".join(text)) for i, text in enumerate(texts)], "doc_id bigint, text string")
-    kept = covering_simhash.drop_near_duplicates(frame, tile=tile)
+    kept = near_copies.drop_near_duplicates(frame, tile=tile)
     assert sorted(row["doc_id"] for row in kept.collect()) == [*(group[0] for group in groups), *apart]
 
 

@@ -8,14 +8,8 @@ therefore collides in some table, without fail.
 Buckets hold different fingerprints only, copies were put together before. Within a bucket no pairs are listed: a search
 from one member takes all unvisited members within the radius, then goes on from those, and gives one edge per member.
 A bucket of more than ``TILE`` members is dealt out in slices, each two of which are searched together.
-
-Fingerprints miss texts to which a passage was added or from which one was cut. To keep one text of each group, a prefix
-join completes them: in any one order of all runs of words, two texts with a share ``s`` of their runs in common have one
-of their first ``n - ceil(s n) + 1`` runs in common. Rare runs come first, so that few texts meet without being similar.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,9 +21,6 @@ from visitlake.session import staged
 
 TILE = 4096
 SHINGLES_AT_ONCE = 255 * 256
-TEXTS_AT_ONCE = 256
-# The order of runs of words follows their counts in texts of about so many; any order finds every pair, a good one few others.
-ORDERED_BY = 2_000_000
 
 
 def masks(radius: int) -> list[int]:
@@ -194,194 +185,3 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fingerprint", "component_id")
     return rows.join(named, "fingerprint").select(id_column, "fingerprint", "component_id")
-
-
-def text_prints(docs: DataFrame, prints: int, words: int, text_column: str) -> DataFrame:
-    """Add ``node``, which equal word sequences share, ``prints`` over the set of words, and ``shingles``.
-
-    ``shingles`` is the sorted set of hashes of runs of ``words`` words. A run of words changes with every word of it,
-    but the set of words only with the word itself: so close texts have closer fingerprints of words than of runs.
-    """
-    def run(batches):
-        for batch in (whole.slice(at, TEXTS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, TEXTS_AT_ONCE)):
-            nodes, fingerprints_, shingles = [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                found = words_of(text)
-                digest = hashlib.blake2b(b" ".join(found), digest_size=8).digest()
-                nodes.append(int.from_bytes(digest, "big", signed=True))
-                different = sorted(set(found))
-                fingerprints_.append([simhash([np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in different),
-                                                           np.uint64, len(different))]) for seed in range(prints)])
-                hashes = np.unique(np.concatenate([*shingle_hashes(found, words, 0)]))
-                shingles.append(hashes.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(nodes, pa.int64()), pa.array(fingerprints_, pa.list_(pa.int64())),
-                 pa.array(shingles, pa.list_(pa.int64()))],
-                names=[*batch.schema.names[:-1], "node", "prints", "shingles"])
-
-    kinds = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in docs.schema if field.name != text_column)
-    others = [f"`{name}`" for name in docs.columns if name != text_column]
-    return docs.select(*others, F.col(text_column).cast("binary").alias("_bytes")).mapInArrow(
-        run, f"{kinds}, node long, prints array<long>, shingles array<long>")
-
-
-def drop_near_duplicates(docs: DataFrame, radius: int = 4, prints: int = 4, words: int = 5, similarity: float = 0.8,
-                         tile: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Keep one row, that with the smallest id, of each group of near-duplicate texts; all columns are kept.
-
-    Two texts are linked if at least ``similarity`` of their runs of ``words`` words, without repeats, are common to both.
-    Groups are what links connect; every link counts. Those within the radius in one of several fingerprints of their
-    words are found first, a prefix join finds the others. Texts without words are copies of each other. Of rows with the same smallest id, or all without id, one stays.
-    """
-    key = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text"))
-    numbered = docs.select(key.alias("key"), text_column)
-    texts = staged(text_prints(numbered, prints, words, text_column), "texts")
-    classes = staged(texts.groupBy("node").agg(F.min("key").alias("key"), F.first("prints").alias("prints")), "classes")
-    clusters = staged(components(links(classes.select("node", "prints"), radius)), "clusters")
-    edges = staged(_similar(clusters, texts, similarity, tile), "similar")
-    linked = _completed(edges, texts, similarity, tile)
-    rooted = classes.select("node", "key").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("key").alias("key")).select("key.*")
-    return _first_rows(docs, kept, id_column, text_column)
-
-
-def _similar(clusters: DataFrame, texts: DataFrame, similarity: float, tile: int) -> DataFrame:
-    """Edges between nodes of the same cluster whose sets of shingles are similar enough, as in ``links`` by slices."""
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
-    sets = (texts.join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    slices = F.ceil(F.col("size") / tile).cast("int")
-    own = F.pmod(F.xxhash64("node"), slices).cast("int")
-    pairs = F.when(slices == 1, F.array(F.lit(0))).otherwise(F.transform(
-        F.filter(F.sequence(F.lit(0), slices - 1), lambda other: other != own),
-        lambda other: F.least(own, other) * slices + F.greatest(own, other)))
-    tiles = (clusters.join(sizes, "root").select("node", "root", F.explode(pairs).alias("tile"))
-             .join(sets, "node").select("root", "tile", "node", "shingles"))
-
-    def run(batches):
-        for nodes, shingles in runs(batches):
-            lengths = np.fromiter(map(len, shingles), np.int64, len(shingles))
-            ends = np.cumsum(lengths)
-            _, places = np.unique(np.concatenate(shingles), return_inverse=True)
-            marked = np.zeros(places.max() + 1, bool)
-
-            def near(i, left):
-                own_places = places[ends[i] - lengths[i]:ends[i]]
-                marked[own_places] = True
-                # Sizes alone rule out most texts that are not similar.
-                fits = np.minimum(lengths[left], lengths[i]) >= similarity * np.maximum(lengths[left], lengths[i])
-                result = np.zeros(len(left), bool)
-                for at in np.flatnonzero(fits):
-                    node = left[at]
-                    common = np.count_nonzero(marked[places[ends[node] - lengths[node]:ends[node]]])
-                    result[at] = common >= similarity * (lengths[i] + lengths[node] - common)
-                marked[own_places] = False
-                return result
-
-            edges = search(nodes, near)
-            if edges:
-                a, b = zip(*edges)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return (tiles.repartition("root", "tile").sortWithinPartitions("root", "tile")
-            .mapInArrow(run, "a long, b long").distinct())
-
-
-def _completed(edges: DataFrame, texts: DataFrame, similarity: float, tile: int) -> DataFrame:
-    """Components of the given edges and of those between all other nodes with similar sets of shingles.
-
-    Only shingles that nodes of different components have in their prefixes are looked at. Neighbours by size are compared
-    first: that joins most of a large group, and what is joined is not listed as pairs afterwards.
-    """
-    roots = components(edges)
-    prefixes = _prefixes(texts, _counted(texts), similarity)
-    members = staged(prefixes.join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "length", F.posexplode("prefix").alias("place", "shingle")), "prefixes")
-    shared = (members.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
-              .filter("least <> most").select("shingle", "size"))
-    members = staged(members.drop("root").join(shared, "shingle"), "shared")
-    for neighbours in (True, False):
-        pairs = staged(_prefix_pairs(members, roots, similarity, tile, neighbours), "pairs")
-        edges = edges.unionByName(staged(_verified(pairs, texts, similarity), "similar"))
-        roots = components(edges)
-    return roots
-
-
-def _counted(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that at least two texts of a sample have, and how many of them."""
-    total = texts.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    some = texts.filter(F.pmod(F.xxhash64("node"), F.lit(1 + total // ORDERED_BY)) == 0)
-    sets = some.groupBy("node").agg(F.first("shingles").alias("shingles")).select("shingles").toArrow().column(0)
-    shingles, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *(part.flatten().to_numpy() for part in sets.chunks)]),
-                                 return_counts=True)
-    return shingles[counts > 1], counts[counts > 1]
-
-
-def _prefixes(texts: DataFrame, counted: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
-    """``node``, ``length`` (size of its set of shingles) and ``prefix``, in the order of counts and then of hashes."""
-    known, counts = counted
-
-    def run(batches):
-        for batch in (some for some in batches if some.num_rows):
-            sets, prefixes = batch.column(1), []
-            lengths = np.diff(sets.offsets.to_numpy())
-            for own in np.split(sets.flatten().to_numpy(), np.cumsum(lengths)[:-1]):
-                size = len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1
-                rank = np.zeros(len(own), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    rank = counts[at] * (known[at] == own)
-                prefixes.append(own[np.lexsort((own, rank))[:size]])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                                             names=["node", "length", "prefix"])
-
-    found = texts.select("node", "shingles").mapInArrow(run, "node long, length long, prefix array<long>")
-    return found.groupBy("node").agg(F.first("length").alias("length"), F.first("prefix").alias("prefix"))
-
-
-def _prefix_pairs(members: DataFrame, roots: DataFrame, similarity: float, tile: int, neighbours: bool) -> DataFrame:
-    """Pairs of nodes of different components that share a shingle where enough of both is left behind it."""
-    slices = F.ceil(F.col("size") / tile).cast("int")
-    own = F.pmod(F.xxhash64("node"), slices).cast("int")
-    pairs = F.when(slices == 1, F.array(F.lit(0))).otherwise(F.transform(
-        F.filter(F.sequence(F.lit(0), slices - 1), lambda other: other != own),
-        lambda other: F.least(own, other) * slices + F.greatest(own, other)))
-    tiles = (members.join(roots, "node", "left")
-             .select("shingle", F.explode(F.array(own) if neighbours else pairs).alias("tile"), "node",
-                     F.coalesce("root", "node").alias("root"), "length", "place"))
-
-    def run(batches):
-        for nodes, components_, lengths, places in runs(batches):
-            if (components_ == components_[0]).all():
-                continue
-            order, chosen = np.lexsort((nodes, lengths)), []
-            nodes, components_, lengths, left = nodes[order], components_[order], lengths[order], (lengths - places)[order]
-            for i in range(len(nodes) - 1):
-                others = slice(i + 1, i + 2 if neighbours else None)
-                # At the first shingle that two sets share, all others that they share are behind it.
-                fits = (np.minimum(left[i], left[others]) * (1 + similarity)
-                        >= similarity * (lengths[i] + lengths[others]) - 1e-6) & (components_[others] != components_[i])
-                found = nodes[others][fits]
-                chosen.append((np.minimum(found, nodes[i]), np.maximum(found, nodes[i])))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*chosen)], names=["a", "b"])
-
-    return (tiles.repartition("shingle", "tile").sortWithinPartitions("shingle", "tile")
-            .mapInArrow(run, "a long, b long").distinct())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets of shingles are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = staged(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("first")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("second")), "b"))
-    common = F.size(F.array_intersect("first", "second"))
-    return both.filter(common >= similarity * (F.size("first") + F.size("second") - common)).select("a", "b")
-
-
-def _first_rows(docs: DataFrame, kept: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row of ``docs`` for each kept key (missing id, id, text hash)."""
-    named = docs.withColumn("__text", F.xxhash64(text_column))
-    wanted = kept.select(F.col("id").alias("__kept_id"), F.col("text").alias("__kept_text"))
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__kept_id")) & (F.col("__text") == F.col("__kept_text"))
-    matched = named.join(wanted, same, "left_semi")
-    return matched.dropDuplicates([id_column, "__text"]).drop("__text")
