@@ -13,6 +13,7 @@ such as a table's scan.
 
 import heapq
 import json
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -22,10 +23,11 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from visitlake.llm.bpe import ChunkedText
+from visitlake.llm.token_alignment import slices
 
-TEXTS_AT_ONCE = 256
 CHUNKS_AT_ONCE = 128
-CHUNKS_KEPT = 350_000
+CHUNKS_LOOKED_UP = 100_000
+CHUNKS_KEPT = 1_000_000
 
 
 def differencing(sizes: list[int], ways: int) -> list[tuple[int, list[int]]]:
@@ -69,6 +71,63 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         ways += 1
 
 
+class ChunkTable:
+    """Ids of chunks in flat arrays, found by hash: about 50 bytes a chunk, where a dictionary of strings takes some 160.
+
+    Two chunks are taken for one if their 64-bit and their 32-bit hashes are equal. A full table is forgotten.
+    """
+
+    def __init__(self, kept: int):
+        self.kept, slots = kept, 1 << (2 * kept - 1).bit_length()
+        self.mask = slots - 1
+        self.keys, self.checks = np.zeros(slots, np.int64), np.zeros(slots, np.uint32)
+        self.entry = np.full(slots, -1, np.int32)
+        self.ends, self.ids = np.zeros(kept + 1, np.int64), np.zeros(4 * kept, np.uint32)
+        self.count = 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Entries of the chunks, -1 for those that are not there."""
+        found, slot, left = np.full(len(keys), -1, np.int32), keys & self.mask, np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            entry = self.entry[at]
+            same = (self.keys[at] == keys[left]) & (self.checks[at] == checks[left]) & (entry >= 0)
+            found[left[same]] = entry[same]
+            left = left[(entry >= 0) & ~same]
+            slot[left] = (slot[left] + 1) & self.mask
+        return found
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
+        """Add chunks that are not there, each once; at most ``kept`` of them."""
+        if self.count + len(ids) > self.kept:
+            self.entry[:] = -1
+            self.count = 0
+        first, start = self.count, self.ends[self.count]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.count += len(ids)
+        self.ends[first + 1:self.count + 1] = start + np.cumsum(lengths)
+        end = self.ends[self.count]
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids[:start], np.zeros(max(end - start, len(self.ids) // 2), np.uint32)])
+        self.ids[start:end] = np.frombuffer(b"".join(ids), "<u4")
+        slot, left = keys & self.mask, np.arange(len(keys))
+        while len(left):
+            free = left[self.entry[slot[left]] < 0]
+            # Of chunks that want the same slot, one gets it.
+            taken, one = np.unique(slot[free], return_index=True)
+            chosen = free[one]
+            self.keys[taken], self.checks[taken], self.entry[taken] = keys[chosen], checks[chosen], first + chosen
+            left = np.setdiff1d(left, chosen, assume_unique=True)
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def take(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all entries, one after the other, and the number of each."""
+        starts = self.ends[entries]
+        lengths = self.ends[entries + 1] - starts
+        places = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        return self.ids[places], lengths
+
+
 class LibraryIds:
     """Ids of whole texts by the tokenizers library, which sees each chunk between white space once while it is kept."""
 
@@ -80,7 +139,9 @@ class LibraryIds:
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True  # special strings are split off before
         self.tokenizer = tokenizer
-        self.text = ChunkedText(spec, lambda chunk: self.batch([chunk])[0], chunks_kept)
+        self.text = ChunkedText(spec, lambda chunk: self.batch([chunk])[0], 1)
+        self.table = ChunkTable(chunks_kept)
+        self.at_once = max(1, min(chunks_kept, CHUNKS_LOOKED_UP))
 
     def batch(self, chunks: list[str]) -> list[bytes]:
         """Ids of single chunks. They are encoded many at once, with spaces between, and told apart by their places."""
@@ -97,18 +158,28 @@ class LibraryIds:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunked = [self.text.chunks(text) for text in texts]
-        table = self.text.table
-        # One look-up for each chunk; what the table lacks is filled in at its place.
-        found = [[*map(table.get, chunks)] for chunks in chunked]
-        gaps = [[place for place, ids in enumerate(parts) if ids is None] for parts in found]
-        lacking = {chunks[place] for chunks, places in zip(chunked, gaps) for place in places} - self.text.specials.keys()
-        unknown = [*table.unknown(lacking)]
-        for chunk, ids in zip(unknown, self.batch(unknown)):
-            table.add(chunk, ids)
-        for chunks, parts, places in zip(chunked, found, gaps):
-            for place in places:
-                parts[place] = table[chunks[place]]
-        return [b"".join(parts) for parts in found]
+        chunks = [chunk for own in chunked for chunk in own]
+        found = [self._known(chunks[at:at + self.at_once]) for at in range(0, len(chunks), self.at_once)]
+        ids, lengths = (np.concatenate(part) for part in zip(*found)) if found else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, chunked)])].tolist()
+        return [ids[begin:end].tobytes() for begin, end in zip(ends, ends[1:])]
+
+    def _known(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks and the number of each; what the table lacks is encoded and added."""
+        keys = np.fromiter(map(hash, chunks), np.int64, len(chunks))
+        checks = np.fromiter(map(zlib.crc32, map(str.encode, chunks)), np.uint32, len(chunks))
+        entries = self.table.find(keys, checks)
+        lacking = np.flatnonzero(entries < 0)
+        if len(lacking):
+            places = lacking[np.unique(keys[lacking], return_index=True)[1]]
+            if self.table.count + len(places) > self.table.kept:
+                places = np.unique(keys, return_index=True)[1]  # the table is about to be forgotten
+            unknown = [chunks[place] for place in places.tolist()]
+            plain = iter(self.batch([chunk for chunk in unknown if chunk not in self.text.specials]))
+            ids = [self.text.specials[chunk] if chunk in self.text.specials else next(plain) for chunk in unknown]
+            self.table.add(keys[places], checks[places], ids)
+            entries = self.table.find(keys, checks)
+        return self.table.take(entries)
 
 
 @lru_cache(maxsize=1)
@@ -139,27 +210,25 @@ def _packed(batches, path, capacity, end_id, piece_tokens, group_windows):
     first = TaskContext.get().partitionId() << 36
     sequences, waiting, waiting_tokens, kind = 0, [], 0, pa.int64()
     end = np.array(end_id, "<u4").tobytes()
-    for batch in batches:
-        kind = batch.column(0).type
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            part = batch.slice(at, TEXTS_AT_ONCE)
-            rows = []
-            for key, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
-                ids += end
-                tokens = len(ids) // 4
-                whole = tokens - tokens % capacity
-                for start in range(0, whole, capacity):
-                    rows.append((key, start, capacity, ids[4 * start:4 * (start + capacity)], tokens, first + sequences, 0))
-                    sequences += 1
-                for start in range(whole, tokens, piece_tokens):
-                    cut = ids[4 * start:4 * min(start + piece_tokens, tokens)]
-                    waiting.append((key, start, len(cut) // 4, cut, tokens))
-                    waiting_tokens += len(cut) // 4
-                if waiting_tokens >= group_windows * capacity:
-                    found, sequences = _sequences(waiting, capacity, first, sequences)
-                    rows, waiting, waiting_tokens = rows + found, [], 0
-            if rows:
-                yield _batch(rows, kind)
+    for part in slices(batches, 1):
+        kind = part.column(0).type
+        rows = []
+        for key, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+            ids += end
+            tokens = len(ids) // 4
+            whole = tokens - tokens % capacity
+            for start in range(0, whole, capacity):
+                rows.append((key, start, capacity, ids[4 * start:4 * (start + capacity)], tokens, first + sequences, 0))
+                sequences += 1
+            for start in range(whole, tokens, piece_tokens):
+                cut = ids[4 * start:4 * min(start + piece_tokens, tokens)]
+                waiting.append((key, start, len(cut) // 4, cut, tokens))
+                waiting_tokens += len(cut) // 4
+            if waiting_tokens >= group_windows * capacity:
+                found, sequences = _sequences(waiting, capacity, first, sequences)
+                rows, waiting, waiting_tokens = rows + found, [], 0
+        if rows:
+            yield _batch(rows, kind)
     if waiting:
         yield _batch(_sequences(waiting, capacity, first, sequences)[0], kind)
 
