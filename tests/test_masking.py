@@ -19,6 +19,8 @@ def masked(spark, text, expression=fn.mask_text):
     ("a-bronzebucket-x-goldbucket-y", "<bronze-bucket>-goldbucket-y"),
     ("my-silverbucket-z and prod-gold-lake-goldbucket-abc", "<silver-bucket> and <gold-bucket>"),
     ("owner is someone.name@example.com today", "owner is <email> today"),
+    ("a@b.com_x@y.org", "<email><email>"),
+    ("x@y z..@a.bc, a.b@c.d.ef_ @g.hi", "x@y <email>, <email>_ @g.hi"),
     ("nothing private", "nothing private"),
     (None, None)])
 def test_mask_text(spark, text, expected):
@@ -42,3 +44,19 @@ def test_mask_visit_fields_of_json(spark):
     text = '{"visit_id": 42, "other": 42, "rows": [{"visit_id":"42"}, {"visit_id": null}]}'
     assert masked(spark, text, fn.mask_visit_fields) == (
         '{"visit_id": "visit A", "other": 42, "rows": [{"visit_id":"visit A"}, {"visit_id": null}]}')
+
+
+def test_addresses_are_those_of_the_plain_pattern(spark):
+    import random
+    import re
+
+    from visitlake.functions import masking
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("ab.@_-+ c1") for _ in range(draw.randint(1, 60))) + draw.choice(["", "a@b.cde_f@g.hij"]) for _ in range(400)]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    found = [row[0] for row in frame.select(masking.mask_emails(F.col("text"))).collect()]
+    assert found == [re.sub(masking.EMAIL, "<email>", text) for text in texts]
+
+
+def test_a_long_word_without_an_address_costs_no_quadratic_time(spark):
+    assert masked(spark, "x" * 300_000 + " @") == "x" * 300_000 + " @"

@@ -1,5 +1,7 @@
 """Masking of private identifiers in text columns, as regular-expression replacements over whole texts."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,29 +21,37 @@ VISIT_LABEL = "visit A"
 _MARK = "\ue000"
 
 
-def _where(text: Column, has: Column, masked: Column) -> Column:
-    """Run a costly pattern only over texts that hold a plain part of it; searching for that part is far cheaper."""
-    return F.when(has, masked).otherwise(text)
+# The same addresses, looked for where a name begins (or the last match ended) and not again at each of its letters.
+_EMAIL_FROM_START = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+
+
+def _where(text: Column, has: Callable[[Column], Column], masked: Callable[[Column], Column]) -> Column:
+    """Run a costly pattern only over texts that hold a plain part of it; searching for that part is far cheaper. The text,
+    often the outcome of another replacement, is made once however often it is looked at."""
+    return F.transform(F.array(text), lambda once: F.when(has(once), masked(once)).otherwise(once))[0]
 
 
 def mask_buckets(text: Column) -> Column:
     """Generated bucket names become their role. One pass finds them, so a name is never matched twice."""
-    masked = F.regexp_replace(F.translate(text, _MARK, ""), BUCKET, f"{_MARK}$1{_MARK}")
-    for role, label in BUCKET_ROLES.items():
-        masked = F.regexp_replace(masked, f"(?iu){_MARK}{role}{_MARK}", f"<{label}-bucket>")
-    return _where(text, F.lower(text).contains("bucket-"), masked)
+    def masked(once: Column) -> Column:
+        found = F.regexp_replace(F.translate(once, _MARK, ""), BUCKET, f"{_MARK}$1{_MARK}")
+        for role, label in BUCKET_ROLES.items():
+            found = F.regexp_replace(found, f"(?iu){_MARK}{role}{_MARK}", f"<{label}-bucket>")
+        return found
+
+    return _where(text, lambda once: F.lower(once).contains("bucket-"), masked)
 
 
 def mask_arns(text: Column) -> Column:
-    return _where(text, text.contains("arn:aws"), F.regexp_replace(text, ARN, "<arn>"))
+    return _where(text, lambda once: once.contains("arn:aws"), lambda once: F.regexp_replace(once, ARN, "<arn>"))
 
 
 def mask_emails(text: Column) -> Column:
-    return _where(text, text.contains("@"), F.regexp_replace(text, EMAIL, "<email>"))
+    return _where(text, lambda once: once.contains("@"), lambda once: F.regexp_replace(once, _EMAIL_FROM_START, "<email>"))
 
 
 def mask_accounts(text: Column) -> Column:
-    return _where(text, text.rlike("[0-9]{12}"), F.regexp_replace(text, ACCOUNT, "<account-id>"))
+    return _where(text, lambda once: once.rlike("[0-9]{12}"), lambda once: F.regexp_replace(once, ACCOUNT, "<account-id>"))
 
 
 def mask_text(text: Column | str) -> Column:

@@ -6,9 +6,14 @@ group: a piece is a fixed range of the order, so it is bounded, and pieces of on
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from visitlake.session import staged
 
 # A piece is a range of 2 ** PIECE_BITS click numbers, 8,192 of them. Almost every visit is one piece.
 PIECE_BITS = 13
+# Rows of a piece where the order is not a range of numbers, and the characters by which a full one is divided further.
+PIECE_ROWS, PART_STEP = 50_000, 3
 
 
 def piece_of(number: Column, bits: int = PIECE_BITS) -> Column:
@@ -35,13 +40,46 @@ def with_previous_click(clicks: DataFrame, bits: int = PIECE_BITS) -> DataFrame:
             .drop("_piece"))
 
 
-def with_position(frame: DataFrame, group: list[str], piece: Column, order: list[str]) -> DataFrame:
+def sort_text(frame: DataFrame, names: list[str]) -> Column:
+    """Whole numbers and times as text that sorts as they do, missing values first; 17 characters each."""
+    def digits(name: str) -> Column:
+        kind = frame.schema[name].dataType
+        number = F.unix_micros(name) if isinstance(kind, T.TimestampType) else F.col(name).cast("bigint")
+        # Without its sign bit turned, a negative number would sort behind.
+        turned = number.bitwiseXOR(F.lit(-(1 << 63)))
+        return F.coalesce(F.concat(F.lit("1"), F.lpad(F.hex(turned), 16, "0")), F.rpad(F.lit("0"), 17, "0"))
+    return F.concat(*map(digits, names))
+
+
+def bounded_pieces(frame: DataFrame, group: list[str], piece: Column, order: list[str], most: int = PIECE_ROWS) -> DataFrame:
+    """Add ``_piece``, which rises with the order and of which no group has more than ``most`` rows.
+
+    ``piece`` is a first division that rises with the order. A piece with more rows is divided by the first characters of its
+    rows' place in the order, again and again, until all parts are small enough. Counts, combined before their shuffle,
+    say which pieces are too full: that list has at most one row for each ``most`` rows, and is empty as a rule. Only
+    rows that are equal in the whole order stay together.
+    """
+    places = frame.withColumn("_piece", F.struct(piece.alias("piece"), F.lit("").alias("part")))
+    whole, size = 17 * len(order), 0
+    while size < whole:
+        full = staged(places.groupBy(*group, "_piece").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > most)
+                      .select(*group, "_piece", F.lit(True).alias("_full")), "full-pieces")
+        if full.isEmpty():
+            break
+        size = min(whole, size + PART_STEP)
+        finer = F.struct(F.col("_piece.piece").alias("piece"), F.substring(sort_text(frame, order), 1, size).alias("part"))
+        places = (places.join(full, [*group, "_piece"], "left")
+                  .withColumn("_piece", F.when(F.col("_full"), finer).otherwise(F.col("_piece"))).drop("_full"))
+    return places
+
+
+def with_position(frame: DataFrame, group: list[str], piece: Column, order: list[str], most: int = PIECE_ROWS) -> DataFrame:
     """Add ``position`` (1..n in the group's order) and ``group_rows`` (n).
 
-    ``piece`` must rise with the order. Rows are numbered inside their piece; the per-piece counts, one row each, give
-    the number at which a piece starts.
+    Rows are numbered inside of bounded pieces (see ``bounded_pieces``); the per-piece counts, one row each, give the
+    number at which a piece starts.
     """
-    pieces = frame.withColumn("_piece", piece)
+    pieces = bounded_pieces(frame, group, piece, order, most)
     in_piece = Window.partitionBy(*group, "_piece").orderBy(*order)
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)

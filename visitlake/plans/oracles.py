@@ -217,8 +217,7 @@ def totals(**tables):
 # The masking patterns without look-around: the character before a match is captured and put back.
 def _masked(column):
     bucket = r"(^|[^a-zA-Z0-9-])[a-zA-Z0-9][a-zA-Z0-9-]*?-{role}bucket-[a-zA-Z0-9]+"
-    any_role = bucket.replace("{role}", "([bB][rR][oO][nN][zZ][eE]|[sS][iI][lL][vV][eE][rR]|[gG][oO][lL][dD]|"
-                                        "[aA][tT][hH][eE][nN][aA][rR][eE][sS][uU][lL][tT][sS])")
+    any_role = bucket.replace("{role}", "((?i:bronze|silver|gold|athenaresults))")
     out = rf"regexp_replace({column}, '{any_role}', '\1' || chr(57344) || '\2' || chr(57344), 'g')"
     for role, label in (("bronze", "bronze"), ("silver", "silver"), ("gold", "gold"), ("athenaresults", "athena-results")):
         out = f"regexp_replace({out}, chr(57344) || '(?i:{role})' || chr(57344), '<{label}-bucket>', 'g')"
