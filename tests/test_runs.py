@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from test_lake import APRIL, land, new_lake
 
 from visitlake import schemas as S
+from visitlake.operators import quality
 from visitlake.plans import lake as lakes
 from visitlake.session import staged
 from visitlake.sources import manifest, tables
+from visitlake.sources.raw_clicks import read_raw_clicks, to_plain_columns
 from visitlake.streaming.lake_stream import run_batch, run_stream
 
 # Visit 40 has a click that landed in a month that does not exist; 41 goes on in May; 42 is whole in May.
@@ -67,6 +69,10 @@ def test_months_in_several_runs_give_the_rows_of_one_run(spark, tmp_path, one_ru
     lakes.erase_visits(spark, lake, spark.createDataFrame([(3,)], "visit_id bigint"), RUN, "request")
     lakes.run_new_files(spark, lake, RUN)
     assert layers(spark, lake) == [[row for row in rows if row[0] not in (3, "uci553-3-1", "uci553-3-2")] for rows in before]
+    # The merged profile is that of the rows that are landed now.
+    landed = to_plain_columns(read_raw_clicks(spark, lake.landing))
+    assert rows_of(lakes.lake_profile(spark, lake), "metric", "value") == rows_of(quality.dataset_profile(landed), "metric", "value")
+    assert spark.table(lake.tables.profile_months).filter("column = 'visit_id' AND item = '3'").count() == 0
     index = spark.table(lake.tables.landed_visits)
     assert index.filter("visit_id = 3").count() == 0 and index.filter("visit_id = 41").count() == 2
 

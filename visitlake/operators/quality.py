@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas as S
 
+# Names of what a profile counts besides the values of columns.
+DAY, REPEATS = "(day)", "(repeated rows)"
+
 
 def category_mismatches(clicks: DataFrame, products: DataFrame) -> DataFrame:
     """Clicks whose category differs from their product's. Reported, not rejected."""
@@ -54,31 +57,51 @@ def quality_counts(source: DataFrame, bronze: DataFrame, duplicates_removed: Dat
     return reduce(DataFrame.unionByName, parts)
 
 
-def dataset_profile(clicks: DataFrame) -> DataFrame:
-    """Profile of a plain click table as ``metric, value`` rows: sizes, missing values, repeats, visits, distinct values.
+def value_counts(clicks: DataFrame, month: Column | None = None) -> DataFrame:
+    """What a profile is made of: ``column, item, rows`` of a plain click table, and ``source_month`` if it is given.
 
-    Everything comes from two pre-aggregated lists: rows per distinct row, and rows per (column, value). A value or a row
-    that fills the table costs one row per task in either; values are double, as a median may lie between two counts.
+    One row per column and value with its rows, and under names of their own one per day and one with the number of
+    repeated rows. Equal rows lie in one month, so counts of months are merged by summing their rows. Distinct rows come
+    first: a row or a value that fills the table costs one row per task.
     """
     names = [name for name in S.PLAIN_COLUMNS if name in clicks.columns]
-    rows = clicks.groupBy(*names).agg(F.count("*").alias("copies"))
-    texts = rows.select("copies", *[F.col(name).cast("string").alias(name) for name in names])
-    values = texts.unpivot(["copies"], names, "column", "item").groupBy("column", "item").agg(F.sum("copies").alias("rows"))
+    keys = [] if month is None else ["source_month"]
+    with_month = clicks if month is None else clicks.withColumn("source_month", month)
+    rows = with_month.groupBy(*keys, *names).agg(F.count("*").alias("copies"))
+    day = F.to_json(F.struct(F.array("year", "month", "day").alias("day")))
+    texts = rows.select(*keys, "copies", day.alias(DAY), *[F.col(name).cast("string").alias(name) for name in names])
+    values = (texts.unpivot([*keys, "copies"], [DAY, *names], "column", "item").groupBy(*keys, "column", "item")
+              .agg(F.sum("copies").alias("rows")))
+    repeats = rows.groupBy(*keys).agg(F.sum(F.col("copies") - 1).alias("rows")).select(
+        *keys, F.lit(REPEATS).alias("column"), F.lit(None).cast("string").alias("item"), "rows")
+    return values.unionByName(repeats)
+
+
+def merged_profile(counts: DataFrame) -> DataFrame:
+    """The profile of all rows that the counts stand for, as ``metric, value`` rows: sizes, missing values, repeats, visits,
+    distinct values. Values are double, as a median may lie between two counts."""
+    merged = counts.groupBy("column", "item").agg(F.sum("rows").alias("rows"))
+    values = merged.filter(~F.col("column").isin(DAY, REPEATS))
     of_column = values.groupBy("column").agg(
         F.count("item").alias("distinct"), F.sum("rows").alias("rows"),
         F.sum(F.when(F.col("item").isNull(), F.col("rows")).otherwise(0)).alias("nulls"))
     distinct = of_column.select(F.concat(F.lit("distinct_"), "column").alias("metric"), F.col("distinct").alias("value"))
     sizes = metric(of_column, rows=F.max("rows"), nulls=F.sum("nulls"))
-    repeats = metric(rows, duplicate_rows=F.sum(F.col("copies") - 1))
+    repeats = metric(merged.filter(F.col("column") == REPEATS), duplicate_rows=F.sum("rows"))
     lengths = (values.filter((F.col("column") == "visit_id") & F.col("item").isNotNull())
                .groupBy(F.col("rows").alias("clicks")).agg(F.count("*").alias("visits")))
     visits = metric(lengths, visits=F.sum("visits"), longest_visit=F.max("clicks"),
                     one_click_visits=F.sum(F.when(F.col("clicks") == 1, F.col("visits"))))
     median = lengths.agg(F.percentile("clicks", 0.5, F.col("visits")).alias("value")).select(
         F.lit("median_visit").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value"))
-    days = metric(rows.select("year", "month", "day").distinct(), days=F.count("*"))
-    counts = reduce(DataFrame.unionByName, [sizes, repeats, visits, days, distinct])
-    return counts.withColumn("value", F.col("value").cast("double")).unionByName(median)
+    days = metric(merged.filter(F.col("column") == DAY), days=F.count("*"))
+    counted = reduce(DataFrame.unionByName, [sizes, repeats, visits, days, distinct])
+    return counted.withColumn("value", F.col("value").cast("double")).unionByName(median)
+
+
+def dataset_profile(clicks: DataFrame) -> DataFrame:
+    """Profile of a plain click table as ``metric, value`` rows."""
+    return merged_profile(value_counts(clicks))
 
 
 def constancy_violations(clicks: DataFrame) -> DataFrame:

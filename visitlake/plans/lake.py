@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas as S
@@ -15,7 +15,7 @@ from visitlake.functions import source_month
 from visitlake.operators import rollups
 from visitlake.operators.erasure import deleted_visit_ids, remove_deleted_visits
 from visitlake.operators.gold import build_gold_clicks, build_visits
-from visitlake.operators.quality import metric
+from visitlake.operators.quality import merged_profile, metric, value_counts
 from visitlake.operators.rules import all_reasons
 from visitlake.operators.silver import add_weekend_click
 from visitlake.plans.increment import build_increment, build_whole_dataset, month_filter
@@ -106,7 +106,7 @@ def _silver_step(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: date
     """Write Silver and the table of landed visits. Gives the run's months, those written, and the rows that were counted; the
     affected visits are kept with the journal."""
     tables = lake.tables
-    for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
+    for table in versioned(tables):
         remove_old_versions(spark, table)
     landed = staged(visit_months_of(raw), "landed-visits")
     months = months or sorted(row[0] for row in landed.select("source_month").distinct().collect())
@@ -139,6 +139,10 @@ def _silver_step(spark: SparkSession, raw: DataFrame, lake: Lake, run_time: date
                                         observed[0], (F.count_if(new).alias("silver_clicks"),)),
         lambda: replace_months_in_table(rejected, tables.rejected, written, CLICK_ORDER, others(tables.rejected, "source_month"),
                                         observed[1], (F.count_if(new).alias("rejected_rows"), *reasons)))
+    # The profile is of what landed, so it holds the rows of these months and not their context.
+    profiled = month_filter(increment.bronze.select(*S.PLAIN_COLUMNS, _landing_month(increment.bronze).alias("source_month")),
+                            "source_month", months)
+    replace_months_in_table(value_counts(profiled, F.col("source_month")), tables.profile_months, months)
     # Last, so that an attempt that dies before it still finds the visits that the months held.
     replace_months_in_table(_index(landed, deleted), tables.landed_visits, months, ["visit_id"])
     return found | silver.counts | observed[0].get | observed[1].get
@@ -148,8 +152,16 @@ def visit_months_of(raw: DataFrame) -> DataFrame:
     """``visit_id``, ``source_month``, ``rows``: the rows of each visit in each landing month of raw rows."""
     with_month = "source_month" in raw.columns
     plain = to_plain_columns(raw, keep=("source_month",) if with_month else ())
-    month = F.col("source_month") if with_month else source_month()
-    return plain.groupBy("visit_id", month.alias("source_month")).agg(F.count("*").alias("rows"))
+    return plain.groupBy("visit_id", _landing_month(plain).alias("source_month")).agg(F.count("*").alias("rows"))
+
+
+def _landing_month(rows: DataFrame) -> Column:
+    return F.col("source_month") if "source_month" in rows.columns else source_month()
+
+
+def lake_profile(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The profile of all landed rows, merged from the counts of their months. No landed file is read."""
+    return merged_profile(spark.table(lake.tables.profile_months))
 
 
 def _index(landed: DataFrame, deleted: DataFrame) -> DataFrame:
@@ -268,12 +280,20 @@ def _erase(spark: SparkSession, lake: Lake, visits: DataFrame, deleted_time: dat
     refresh_gold(spark, lake, months, wanted)
     if months:
         erase_visit_lines(spark, lake.landing, months, wanted)
+        left = to_plain_columns(read_raw_clicks(spark, lake.landing, months), keep=("source_month",))
+        replace_months_in_table(value_counts(left, F.col("source_month")), tables.profile_months, months)
     # Versions from before the erasure must not outlive it.
-    for table in (tables.clicks, tables.rejected, tables.gold_clicks, tables.gold_visits, tables.landed_visits):
+    for table in versioned(tables):
         remove_old_versions(spark, table)
     return months
 
 
+def versioned(tables: LakeTables) -> list[str]:
+    """Every table whose months are replaced."""
+    return [tables.clicks, tables.rejected, tables.landed_visits, tables.profile_months, tables.gold_clicks, tables.gold_visits,
+            tables.product_months, tables.click_days, tables.visit_months]
+
+
 def erase_from_table(spark: SparkSession, table: str, month_column: str, months: list[str], visits: DataFrame) -> None:
     """Rewrite the months of a table that hold one of the visits; other months keep their files."""
     present = month_filter(spark.table(table), month_column, months)

@@ -303,6 +303,8 @@ def oracle_sql() -> dict[str, str]:
     constancy = [("visit_id", "country_code")] + [("product_code", name) for name in (
         "colour_code", "price_usd", "price_above_category_average_code", "photo_position_code", "photo_angle_code",
         "page_number_in_shop")]
+    profile_text = text([RAW, "\nlengths AS (SELECT visit_id, count(*) AS clicks FROM raw GROUP BY visit_id)"],
+                        f"SELECT metric, CAST(value AS DOUBLE) AS value FROM ({profile}) UNION ALL SELECT 'median_visit', median(clicks) FROM lengths")
     return {
         # Scans, sources, sinks
         "source_scan": text([RAW], f"SELECT {TEXT_COLUMNS} FROM raw"),
@@ -356,7 +358,8 @@ def oracle_sql() -> dict[str, str]:
         "rejected_rows": text(FLOW, "SELECT 'all' AS scope, count(*) AS rejected FROM rejected"),
         "visit_row_counts": text(GOLD + [PICKED], "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {table} WHERE visit_id IN (SELECT visit_id FROM picked)" for name, table in (("silver_clicks", "clicks"), ("silver_clicks_rejected", "rejected"), ("gold_visits", "visits")))),
         "weekend_mismatches": text(FLOW + [EVOLVED], f"SELECT count(*) FILTER (weekend_click IS DISTINCT FROM ({WEEKEND})) AS mismatched_rows, count(*) AS rows_checked FROM evolved"),
-        "dataset_profile": text([RAW, "\nlengths AS (SELECT visit_id, count(*) AS clicks FROM raw GROUP BY visit_id)"], f"SELECT metric, CAST(value AS DOUBLE) AS value FROM ({profile}) UNION ALL SELECT 'median_visit', median(clicks) FROM lengths"),
+        "dataset_profile": profile_text,
+        "lake_profile": profile_text,
         "constancy_violations": text([RAW], "\nUNION ALL\n".join(f"SELECT '{key}' AS key_name, CAST({key} AS VARCHAR) AS key, '{name}' AS attribute, count(DISTINCT {name}) AS distinct_values FROM raw WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(DISTINCT {name}) > 1" for key, name in constancy)),
         # Windows
         "dedup_resends": text([RAW, BRONZE, "\nunique_clicks AS (SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY click_id ORDER BY received_time) = 1)"], f"SELECT {', '.join(S.BRONZE_COLUMNS)} FROM unique_clicks"),

@@ -649,6 +649,7 @@ def queries():
         "atomic_month": atomic_month,
         "file_difference": file_difference,
         "silver_file_order": silver_file_order,
+        "lake_profile": lambda s, d: lakes.lake_profile(s, lake_of(s, d)),
         "lake_products": lake_table("products"),
         "lake_calendar": lake_table("calendar_days"),
         "lake_daily_visits": lake_table("summaries/daily_visits"),

@@ -130,6 +130,7 @@ CALENDAR_SCHEMA = _schema((_DATE, "calendar_date"), (_TEXT, "day_of_week"), (_LO
 PRODUCT_MONTHS_SCHEMA = T.StructType(
     PRODUCTS_SCHEMA.fields + _schema((_LONG, "clicks"), (T.DecimalType(38, 0), "seen"), (_TEXT, "click_month")).fields)
 LANDED_VISITS_SCHEMA = _schema((_LONG, "visit_id"), (_TEXT, "source_month"))
+PROFILE_MONTHS_SCHEMA = _schema((_TEXT, "column item"), (_LONG, "rows"), (_TEXT, "source_month"))
 CLICK_DAYS_SCHEMA = _schema((_DATE, "click_date"), (_TEXT, "click_month"))
 VISIT_MONTHS_SCHEMA = _schema(
     (_TEXT, "kind"), (_DATE, "visit_date"), (_LONG, "deepest"), (_TEXT, "product_code"), (_LONG, "country_code"),
