@@ -247,3 +247,49 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(found[0, :4], total / total.sum(axis=1, keepdims=True))
     assert np.allclose(counts, expected / total[0].sum())
     assert np.allclose(language_crf.posteriors(scores, inside, moves)[0, :4], found[0, :4])
+
+
+def test_toxicity_learns_from_different_texts(spark):
+    """Thousands of copies of one clean text, under ids of their own and under one id, leave room for all others."""
+    toxic = [(number, f"you are a gleeb {number} and a fool", 1) for number in range(40)]
+    clean = [(100 + number, f"a quiet day {number} in the garden", 0) for number in range(40)]
+    copies = [(1000 + number, "the same clean text again", 0) for number in range(3000)] + [(99, "the same clean text again", 0)] * 500
+    frame = spark.createDataFrame(toxic + clean + copies, "doc_id long, text string, toxic int")
+    seen = []
+    original = toxicity.train
+    toxicity.train = lambda samples, *given, **named: seen.append((samples, named["weights"])) or original(samples, *given, **named)
+    try:
+        model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic").distinct(), F.lit(True), per_label=50)
+    finally:
+        toxicity.train = original
+    (samples, weights), = seen
+    assert len(samples) == len({text for text, _ in samples}) == 81 and sum(label for _, label in samples) == 40
+    assert weights == (pytest.approx(3540 / 41), 1.0)
+    assert model.scores(["you are a gleeb"])[0] > model.scores(["a quiet day"])[0]
+
+
+def test_toxicity_is_a_plain_convolution(monkeypatch):
+    """Probabilities against loops over places, filters and taps, also where places are taken in parts."""
+    draw = np.random.default_rng(1)
+    model = toxicity.Model(
+        draw.normal(0, 1, (toxicity.TABLE, toxicity.DIMENSIONS)).astype(np.float32),
+        [draw.normal(0, 1, (width, toxicity.DIMENSIONS, toxicity.FILTERS)).astype(np.float32) for width in toxicity.WIDTHS],
+        draw.normal(0, 1, 24).astype(np.float32), draw.normal(0, 1, 24).astype(np.float32), np.zeros(1, np.float32), np.full(5, 0.5))
+    texts = ["one two three two one", None, "", "word " * 300 + "odd even", "x y", "é ß"]
+
+    def plainly(text):
+        padding = [np.zeros(toxicity.DIMENSIONS)] * toxicity.PADDING
+        own = [model.embeddings[toxicity.places(word)].sum(axis=0) for word in toxicity.words_of(text)]
+        hidden = []
+        for filters in model.filters:
+            # A filter of fewer words also sees the padding before the text, and the last words of it up to its width.
+            row = padding + own + padding
+            values = [sum(row[at + step] @ tap for step, tap in enumerate(filters)) for at in range(len(own) + toxicity.PADDING)]
+            hidden.append(np.max(values, axis=0))
+        total = np.maximum(np.concatenate(hidden) + model.filter_bias, 0) @ model.output + model.bias[0]
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+    expected = [plainly(text) for text in texts]
+    for at_once in (1 << 18, 7):
+        monkeypatch.setattr(toxicity, "PLACES_AT_ONCE", at_once)
+        assert model.probabilities(texts)[0] == pytest.approx(np.array(expected), rel=1e-4)

@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from visitlake.llm.batches import slices
 from visitlake.llm.bpe import ChunkedText
-from visitlake.llm.token_alignment import slices
 
 CHUNKS_AT_ONCE = 128
 CHUNKS_LOOKED_UP = 100_000

@@ -25,11 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlake.llm.batches import slices
 from visitlake.llm.bpe import LATER, byte_letters
 from visitlake.session import staged
 
-SLICE_BYTES = 1 << 19
-SLICE_ROWS = 512
 PART_CHARS = 1 << 16
 # Longer parts, which have no space to cut at, are left to the tokenizer's own library.
 RANKED_CHARS = 1 << 20
@@ -253,20 +252,6 @@ def groups_of(docs: DataFrame, path_a: str, path_b: str, text_column: str = "tex
     return nested.mapInArrow(run, f"row {nested.schema['row'].dataType.simpleString()}, groups string")
 
 
-def slices(batches, text: int):
-    """Batches in slices of bounded rows and bytes of text; a longer text is a slice of its own."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        start, held = 0, 0
-        for place, size in enumerate(sizes.tolist()):
-            if place > start and (held + size > SLICE_BYTES or place - start >= SLICE_ROWS):
-                yield batch.slice(start, place - start)
-                start, held = place, 0
-            held += size
-        if batch.num_rows > start:
-            yield batch.slice(start)
-
-
 def _documents(batches, path_a, path_b):
     key = TaskContext.get().partitionId() << 40
     for part in slices(batches, 1):
