@@ -24,9 +24,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is fitted to labelled documents of the stage's input. What is kept stays as it is.
     """
     model = language_crf.fit(docs, fold(4) != 2)
-    judged = language_crf.with_language(docs, model, "_language")
-    known = (F.col("_language.lang_pred") != language_crf.UNKNOWN) & (F.col("_language.score") >= LEAST_LANGUAGE)
-    return judged.filter(known).select(docs.columns)
+    # The row is nested, so its columns' names cannot clash with the verdict's.
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    judged = language_crf.with_language(docs.select(row, F.col("text").alias("text")), model, "language")
+    known = (F.col("language.lang_pred") != language_crf.UNKNOWN) & (F.col("language.score") >= LEAST_LANGUAGE)
+    return judged.filter(known).select([F.col("row")[name].alias(name) for name in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitlake.llm.batches import slices
+
 LETTERS = re.compile(r"[^\W\d_]+")
 TABLE = 1 << 16
 CHAIN = 128
@@ -268,20 +270,19 @@ def with_language(docs: DataFrame, model: Model, column: str = "language", text_
     at_text = docs.columns.index(text_column)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, at_text):
             names, scores = [], []
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                _, found, counts = labelled(batch.column(at_text).slice(at, TEXTS_AT_ONCE).to_pylist(), model)
-                sums = np.zeros((len(counts), found.shape[1]))
-                np.add.at(sums, np.repeat(np.arange(len(counts)), counts), found)
-                for total, count in zip(sums, counts):
-                    if count and len(total):
-                        best = int(total.argmax())
-                        names.append(model.languages[best])
-                        scores.append(min(1.0, float(total[best] / count)))
-                    else:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
+            _, found, counts = labelled(batch.column(at_text).to_pylist(), model)
+            sums = np.zeros((len(counts), found.shape[1]))
+            np.add.at(sums, np.repeat(np.arange(len(counts)), counts), found)
+            for total, count in zip(sums, counts):
+                if count and len(total):
+                    best = int(total.argmax())
+                    names.append(model.languages[best])
+                    scores.append(min(1.0, float(total[best] / count)))
+                else:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
             judged = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                 names=["lang_pred", "score"])
             yield pa.RecordBatch.from_arrays([*batch.columns, judged], names=[*batch.schema.names, column])

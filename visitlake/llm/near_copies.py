@@ -24,23 +24,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlake.llm.batches import slices
 from visitlake.llm.columns import let
 from visitlake.llm.components import components
 from visitlake.llm.covering_simhash import links, runs, search, simhash, words_of
 from visitlake.session import staged
 
-TILE = 1024
+TILE, TILE_RUNS = 1024, 1024
 # A flush is bounded in runs and in texts, whose places in it take two bytes.
-FLUSH_RUNS, FLUSH_TEXTS = 1 << 21, 1 << 16
+FLUSH_RUNS, FLUSH_TEXTS = 1 << 19, 1 << 16
 BUCKET_RUNS, MOST_BUCKETS = 1 << 19, 1 << 17
 # Runs are taken for widespread if so many texts of a sample of about so many runs have them.
 SAMPLED_RUNS, WIDESPREAD = 2_000_000, 24
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 # A filter of chosen texts has so many bits at most. Texts that pass it by chance only cost time.
 FILTER_BITS = 1 << 28
 # The same for the filter of texts that do not stay, which tasks read as one value.
 STOPPED_BITS = 1 << 26
-SET_BYTES = 32 << 20
+SET_BYTES = 8 << 20
 
 
 # Words and runs
@@ -102,6 +103,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 4, prints: int = 1, word
                      "classes")
     chosen = lambda nodes: classes.join(nodes.select("node"), "node", "left_semi")
     clusters = staged(components(links(classes.select("node", "prints"), radius)), "clusters")
+    clusters = clusters.join(classes.select("node", "runs"), "node")
     edges = staged(_similar(clusters, _sets(hashed, chosen(clusters), words), similarity, tile), "similar")
     roots = components(edges)
     members = staged(_prefixes(hashed, classes, words, similarity), "prefixes")
@@ -142,7 +144,7 @@ def _first_rows(rows: DataFrame, keys: DataFrame, kept: DataFrame) -> DataFrame:
 def _texts(named: DataFrame, prints: int, words: int) -> DataFrame:
     """``key``, ``node`` (shared by equal sequences of words), ``prints`` over the set of words, ``runs`` (their number, or more)."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             nodes, found, counts = [], [], []
             for text in batch.column(1).to_pylist():
                 own = words_of(text)
@@ -220,8 +222,11 @@ def _tiles(size, tile: int):
 
 
 def _similar(clusters: DataFrame, sets: DataFrame, similarity: float, tile: int) -> DataFrame:
-    """Edges between nodes of the same cluster whose sets of runs are similar enough, by slices of large clusters."""
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
+    """Edges between nodes of the same cluster whose sets of runs are similar enough, by slices of large clusters.
+
+    A slice has about ``tile`` texts, or fewer where they have more than ``TILE_RUNS`` runs each.
+    """
+    sizes = clusters.groupBy("root").agg(F.greatest(F.count("*"), F.ceil(F.sum("runs") / TILE_RUNS)).alias("size"))
     tiles = (clusters.join(sizes, "root").select("node", "root", F.explode(_tiles(F.col("size"), tile)[1]).alias("tile"))
              .join(sets, "node").select("root", "tile", "node", "shingles"))
 

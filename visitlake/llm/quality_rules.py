@@ -77,7 +77,7 @@ def judge(docs: DataFrame, text_column: str = "text", max_lost: float = 0.5) ->
     with a word. ``clean_text`` is the text without failing lines. A missing or empty text counts 0 everywhere, fails the
     base rules and has an empty clean text. Rows are judged one by one, so repeated rows get equal results.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
 
     def counted(words, lines):
         full = F.filter(lines, lambda line: line.rlike(WORD))
@@ -111,9 +111,7 @@ def judge(docs: DataFrame, text_column: str = "text", max_lost: float = 0.5) ->
 
 
 def clean(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Kept documents with their cleaned text; the columns stay as they are."""
-    judged = judge(docs.withColumnRenamed("quality", "_quality") if "quality" in docs.columns else docs, text_column)
-    names = ["_quality" if name == "quality" else name for name in docs.columns]
-    return judged.filter("quality.kept").select(
-        [(F.col("quality.clean_text") if name == text_column else F.col(f"`{name}`")).alias(
-            "quality" if name == "_quality" else name) for name in names])
+    """Kept documents with their cleaned text; the columns stay as they are, whatever their names."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    judged = judge(docs.select(row, F.col(f"`{text_column}`").alias("text"))).filter("quality.kept")
+    return judged.select([(F.col("quality.clean_text") if name == text_column else F.col("row")[name]).alias(name) for name in docs.columns])

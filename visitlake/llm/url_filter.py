@@ -77,7 +77,8 @@ def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame, url_column: str = "url") -> DataFrame:
-    """Add ``host``, ``path``, ``rule`` and ``verdict`` (allow or block) to every row; columns of these names are replaced.
+    """Add ``host``, ``path``, ``rule`` and ``verdict`` (allow or block) to every row; columns of these names are replaced, all
+    others are kept whatever their names.
 
     The longest fitting rule decides, else the list (column ``url``) blocks, compared by canonical URLs. A missing URL, or
     one without ``://``, has an empty host and path, fits no rule and is not on the list: it is allowed. Rows may repeat,
@@ -86,15 +87,18 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     list_ = staged(listed.select(canonical(F.col("url")).alias("canonical")).filter("canonical IS NOT NULL").distinct(), "listed")
     blocks = min(MAX_BLOCKS, max(1, -(-list_.count() * BITS_PER_KEY // (64 * LANES))))
     words = bloom_filter(list_, blocks).scalar()
-    url, key = F.col(f"`{url_column}`"), F.col("_canonical")
+    url, key = F.col(f"`{url_column}`"), F.col("canonical")
     rule, decision = rule_of(F.col("host"), F.col("path"), rules)
-    prepared = (pages.withColumns({"host": host(url), "path": path(url), "_canonical": canonical(url)})
+    # The row is nested, so its columns' names cannot clash with those made here.
+    row = F.struct(*[F.col(f"`{name}`") for name in pages.columns]).alias("row")
+    prepared = (pages.select(row, host(url).alias("host"), path(url).alias("path"), canonical(url).alias("canonical"))
                 .withColumns({"rule": rule, "verdict": decision}))
     lanes = words[_block(key, blocks)]
     hits = [lanes[lane].bitwiseAND(bit) == bit for lane, bit in enumerate(_bits(key))]
     passes = F.coalesce(F.col("verdict").isNull() & key.isNotNull() & reduce(Column.__and__, hits), F.lit(False))
     decided = prepared.filter(~passes).withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
-    found = list_.select(F.col("canonical").alias("_canonical"), F.lit("block").alias("_found")).hint("shuffle_hash")
-    checked = (prepared.filter(passes).join(found, "_canonical", "left")
-               .withColumn("verdict", F.coalesce("_found", F.lit("allow"))).drop("_found"))
-    return decided.unionByName(checked).drop("_canonical")
+    found = list_.select("canonical", F.lit("block").alias("found")).hint("shuffle_hash")
+    checked = (prepared.filter(passes).join(found, "canonical", "left")
+               .withColumn("verdict", F.coalesce("found", F.lit("allow"))).select(decided.columns))
+    made = ["host", "path", "rule", "verdict"]
+    return decided.unionByName(checked).select(*[F.col("row")[name].alias(name) for name in pages.columns if name not in made], *made)
