@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from visitlake.llm.columns import WORD, words_of
 from visitlake.session import staged
 
-BUCKET_ROWS = 32_768
+BUCKET_ROWS = 2048
 # An interval of numbers is looked up by the cells that it touches, of which there are so many.
 CELLS = 4096
 ROUNDS = 24
