@@ -287,3 +287,70 @@ def test_pipeline_on_a_small_table(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == frame.columns, name
         assert stage(spark, frame.limit(0), str(tmp_path)).count() == 0
+
+
+CLASHING = ["_language", "language", "row", "text", "key", "node", "quality", "_quality", "__text", "hash", "a.b", "n_chars"]
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    """Names that a stage makes itself, or made before, and one with a dot."""
+    import corpus_pipeline
+    prose = ("The weather of the day was mild and the people of the village went to the market in the morning, where they bought "
+             "bread, apples and a little cheese before the rain came over the hills.")
+    rows = [(number, "en", *[f"{prose} Number {number}." if name == "text" else 7 if name == "n_chars" else f"{name} {number}"
+                             for name in CLASHING]) for number in (1, 2, 3)]
+    schema = "doc_id long, lang string, " + ", ".join(f"`{name}` {'int' if name == 'n_chars' else 'string'}" for name in CLASHING)
+    docs = spark.createDataFrame([*rows, (4, "en", *[None] * len(CLASHING))], schema)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "lang", *CLASHING], name
+    kept = {row["doc_id"]: row for row in docs.collect()}
+    assert len(kept) >= 1 and 4 not in kept
+    for number, row in kept.items():
+        assert all(row[name] == f"{name} {number}" for name in CLASHING if name not in ("text", "n_chars"))
+
+
+def test_url_verdicts_keep_columns_of_any_name(spark):
+    names = ["_canonical", "_found", "canonical", "found", "row", "a.b"]
+    pages = spark.createDataFrame([("http://x.com/a?utm_x=1", *names), (None, *names), ("http://y.net/", *names)],
+                                  "url string, " + ", ".join(f"`{name}` string" for name in names))
+    listed = spark.createDataFrame([("https://www.x.com/a/",), (None,)], "url string")
+    found = url_filter.judge(pages, URL_RULES, listed)
+    assert found.columns == ["url", *names, "host", "path", "rule", "verdict"]
+    rows = sorted(((row["url"] or "", row["verdict"]) for row in found.collect()))
+    assert rows == [("", "allow"), ("http://x.com/a?utm_x=1", "block"), ("http://y.net/", "block")]
+    assert all(row[name] == name for row in found.collect() for name in names)
+
+
+def test_a_run_that_many_texts_share_leads_to_few_pairs(spark, monkeypatch):
+    """Each of 5,000 texts has one run of words in common with all others, and enough runs of its own to come first."""
+    texts = [f"{' '.join(f'own{number}w{place}' for place in range(20))} this very run is shared" for number in range(5000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    original = near_copies._prefix_pairs
+    monkeypatch.setattr(near_copies, "_prefix_pairs", lambda *given: seen.append(original(*given)) or seen[-1])
+    assert near_copies.drop_near_duplicates(frame).count() == 5000
+    assert len(seen) == 2 and sum(pairs.count() for pairs in seen) == 0
+
+
+def test_widespread_runs_come_last_and_lose_no_pair(spark, monkeypatch):
+    """Texts that consist of widespread runs, but for a few words, are still compared."""
+    monkeypatch.setattr(near_copies, "WIDESPREAD", 3)
+    monkeypatch.setattr(near_copies, "BUCKET_RUNS", 64)
+    draw = random.Random(12)
+    common = [[f"c{part}w{place}" for place in range(60)] for part in range(4)]
+    texts = []
+    for number in range(60):
+        words = [word for part in draw.sample(common, draw.randint(1, 3)) for word in part] + [f"x{draw.randint(0, 6)}" for _ in range(draw.randint(0, 9))]
+        texts.append(" ".join(words))
+    sets = {}
+    for text in texts:
+        words = text.split()
+        sets[text] = {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    root = roots(pairs, sets)
+    least = {}
+    for number, text in enumerate(texts):
+        least.setdefault(root[text], number)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(row["doc_id"] for row in near_copies.drop_near_duplicates(frame).collect()) == sorted(least.values())
