@@ -251,6 +251,17 @@ def test_landing_keeps_lines_and_replaces_months(spark, lake, tmp_path):
     assert sorted(row.value for row in spark.read.text(f"{lake.landing}/source_month=2008-05").collect()) == ["2008;5;1;c", header]
 
 
+def test_source_files_with_different_headers_are_not_landed(spark, lake, tmp_path):
+    folder = tmp_path / "source"
+    folder.mkdir()
+    header = list(S.SOURCE_TO_PLAIN)
+    for name, names in (("a", header), ("b", header[::-1])):
+        (folder / f"{name}.csv").write_text(";".join(names) + "\n2008;4;1;1\n")
+    with pytest.raises(landing.LandingError, match="share one header"):
+        landing.land_months(spark, str(folder), lake.landing, ["2008-04"], FIRST)
+    assert not (tmp_path / "landing").exists()
+
+
 @pytest.mark.parametrize("asked, allowed", [([], None), (["2008-09"], ["2008-04"])])
 def test_landing_refuses_bad_requests(spark, lake, asked, allowed):
     with pytest.raises(landing.LandingError):

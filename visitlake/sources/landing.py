@@ -20,12 +20,26 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(path).withColumnRenamed("value", "line")
 
 
-def header_of(lines: DataFrame) -> str:
-    """The first line of the first file."""
-    first = lines.head()
-    if first is None:
-        raise LandingError("the source holds no lines")
-    return first["line"]
+def _is_header():
+    return F.col("line").contains(S.SOURCE_VISIT_COLUMN)
+
+
+def _month():
+    fields = F.split("line", S.SOURCE_SEPARATOR, 3)
+    return F.format_string("%04d-%02d", fields[0].cast("bigint"), fields[1].cast("bigint"))
+
+
+def header_and_months(lines: DataFrame) -> tuple[str, dict[str, int]]:
+    """The header that all source files share, and the number of data lines of each month, in one scan.
+
+    A file with another header would have its fields at other places: that stops the landing.
+    """
+    counted = lines.filter(F.trim("line") != "").groupBy(
+        F.when(_is_header(), F.col("line")).alias("header"), F.when(~_is_header(), _month()).alias("month")).count().collect()
+    headers = sorted(row["header"] for row in counted if row["header"] is not None)
+    if len(headers) != 1:
+        raise LandingError(f"the source files must share one header line; found {headers}")
+    return headers[0], {row["month"]: row["count"] for row in counted if row["month"] is not None}
 
 
 def split_by_month(lines: DataFrame, header: str, months: list[str]) -> DataFrame:
@@ -33,10 +47,8 @@ def split_by_month(lines: DataFrame, header: str, months: list[str]) -> DataFram
 
     A line whose first two fields are not numbers stops the job, as it is not a click line.
     """
-    fields = F.split("line", S.SOURCE_SEPARATOR, 3)
-    month = F.format_string("%04d-%02d", fields[0].cast("bigint"), fields[1].cast("bigint"))
     return (lines.filter((F.trim("line") != "") & (F.col("line") != header))
-            .withColumn("source_month", month)
+            .withColumn("source_month", _month())
             .filter(F.col("source_month").isin(months)))
 
 
@@ -78,10 +90,9 @@ def land_months(spark: SparkSession, source: str, landing: str, months: list[str
     lines = read_lines(spark, source)
     counted = {}
     if todo:
-        header = header_of(lines)
+        header, found = header_and_months(lines)
         chosen = split_by_month(lines, header, todo)
-        counted = {row["source_month"]: row["rows"] for row in
-                   chosen.groupBy("source_month").agg(F.count("*").alias("rows")).collect()}
+        counted = {month: found[month] for month in todo if month in found}
         write_month_files(chosen, header, landing)
         empty_month_files(spark, header, landing, [month for month in todo if month not in counted])
         (spark.createDataFrame([(month, fingerprint, counted.get(month, 0)) for month in todo],
@@ -125,7 +136,7 @@ def erase_visit_lines(spark: SparkSession, landing: str, months: list[str], visi
 
 def only_header(lines: DataFrame) -> str:
     """The header that all files share. Files with another one would have their fields at other places."""
-    headers = lines.select("line").filter(F.col("line").contains(S.SOURCE_VISIT_COLUMN)).distinct().limit(2)
+    headers = lines.select("line").filter(_is_header()).distinct().limit(2)
     found = [row["line"] for row in headers.collect()]
     if len(found) != 1:
         raise LandingError(f"the landed files must share one header line; found {found}")
