@@ -293,3 +293,10 @@ def test_toxicity_is_a_plain_convolution(monkeypatch):
     for at_once in (1 << 18, 7):
         monkeypatch.setattr(toxicity, "PLACES_AT_ONCE", at_once)
         assert model.probabilities(texts)[0] == pytest.approx(np.array(expected), rel=1e-4)
+
+
+def test_a_line_ends_at_its_end_and_not_before_other_separators(spark):
+    lines = ["done now.", "done now. ", "done now.\u2028", "done now.\u0085", "not done"]
+    frame = spark.createDataFrame([(number, line) for number, line in enumerate(lines)], "n int, line string")
+    found = [row[0] for row in frame.orderBy("n").select(quality_rules.line_failure(F.col("line"))).collect()]
+    assert found == [None, None, "unfinished", "unfinished", "unfinished"]

@@ -11,7 +11,7 @@ from visitlake.llm.columns import WORD, let, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 SEPARATORS = "[|»›•·]"
-LINE_END = r"[.!?:;…'\"”’»)\]][\x20\x09-\x0D]*$"
+LINE_END = r"[.!?:;…'\"”’»)\]][\x20\x09-\x0D]*\z"
 WINDOW = 8
 # Phrases of page furniture, in lower case.
 BOILERPLATE = [
