@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake.llm import language_crf, near_copies, packing, quality_rules
+from visitlake.llm.batches import bound_batches
 from visitlake.llm.queries import VOCABULARY, fold, table
 from visitlake.session import scratch_folder
 
@@ -23,12 +24,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model is fitted to labelled documents of the stage's input. What is kept stays as it is.
     """
+    bound_batches(spark)
     model = language_crf.fit(docs, fold(4) != 2)
-    # The row is nested, so its columns' names cannot clash with the verdict's.
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    judged = language_crf.with_language(docs.select(row, F.col("text").alias("text")), model, "language")
+    # Under plain names, so that those of the columns cannot clash with the verdict's.
+    plain = docs.toDF(*[f"c{place}" for place in range(len(docs.columns))])
+    judged = language_crf.with_language(plain, model, "language", plain.columns[docs.columns.index("text")])
     known = (F.col("language.lang_pred") != language_crf.UNKNOWN) & (F.col("language.score") >= LEAST_LANGUAGE)
-    return judged.filter(known).select([F.col("row")[name].alias(name) for name in docs.columns])
+    return judged.filter(known).select(plain.columns).toDF(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +42,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group whose runs of five words are common to 0.8 or more."""
+    bound_batches(spark)
     return near_copies.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
+    bound_batches(spark)
     pieces = packing.pack(docs, VOCABULARY)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

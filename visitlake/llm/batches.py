@@ -1,11 +1,19 @@
-"""Arrow batches in parts whose memory is bounded by the bytes of their texts."""
+"""Arrow batches whose memory is bounded by the bytes of their texts."""
 
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+# The setting that bounds what Spark hands to a Python worker at once, and the bound.
+BATCH_BYTES, MOST_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 SLICE_BYTES = 1 << 19
 SLICE_ROWS = 512
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on batches of the session have at most ``MOST_BYTES`` (or a longer row); results do not depend on it."""
+    spark.conf.set(BATCH_BYTES, str(MOST_BYTES))
+
+
 def slices(batches, text: int):
     """Batches in slices of bounded rows and bytes of text; a longer text is a slice of its own."""
     for batch in batches:
