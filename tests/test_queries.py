@@ -15,8 +15,8 @@ pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="the driver's t
 LARGER = "/root/testdata/sf0.01"
 LAKE = ["erase_visit", "run_report", "run_increment", "lake_profile", "lake_products", "lake_calendar", "lake_daily_visits",
         "lake_visit_depth_funnel", "lake_bounce_rate_by_product", "lake_visits_by_country_and_device", "silver_file_order"]
-CHECKED = ["atomic_month", "file_difference", "gate_checks", "source_plain", "local_to_utc", "rejected_clicks", "silver_clicks", "visits", "products", "daily_visits",
-           "visit_depth_funnel", "synthetic_fields", "dataset_profile", "mask_text"]
+CHECKED = ["atomic_month", "file_difference", "gate_checks", "source_plain", "local_to_utc", "rejected_clicks", "silver_clicks",
+           "visits", "products", "daily_visits", "visit_depth_funnel", "synthetic_fields", "dataset_profile", "mask_text"]
 LAZY = ["dedup_resends", "silver_clicks", "rejected_clicks", "visits", "products", "daily_visits", "visit_depth_funnel",
         "visits_by_country_and_device", "category_mismatches", "remove_deleted_visits", "synthetic_fields", "reconcile_months",
         "constancy_violations", "pick_visit"]
