@@ -111,8 +111,13 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 4, prints: int = 1, word
     # joins most of a large group, and what is joined is not listed as pairs afterwards.
     for neighbours in (True, False):
         pairs = staged(_prefix_pairs(members, roots, similarity, tile, neighbours), "pairs")
+        if pairs.isEmpty():
+            continue
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        edges = edges.unionByName(staged(_verified(pairs, _sets(hashed, chosen(wanted), words), similarity), "similar"))
+        more = staged(_verified(pairs, _sets(hashed, chosen(wanted), words), similarity), "similar")
+        if more.isEmpty():
+            continue
+        edges = edges.unionByName(more)
         roots = components(edges)
     rooted = classes.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min("key").alias("key")).select("key")
