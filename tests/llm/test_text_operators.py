@@ -268,6 +268,29 @@ def test_toxicity_learns_from_different_texts(spark):
     assert model.scores(["you are a gleeb"])[0] > model.scores(["a quiet day"])[0]
 
 
+def test_toxicity_learns_from_all_texts_not_from_its_starting_sample(spark):
+    """Each insult has 40 texts; the sample that training starts from holds few of the insults."""
+    draw = random.Random(4)
+    insults = ["".join(draw.choices("bcdfgklmnprstvz", k=6)) for _ in range(30)]
+    mild = "river garden window table paper water evening morning people market".split()
+    rows = [" ".join([insults[i % 30] if i < 1200 else draw.choice(mild), *draw.choices(mild, k=8)]) + f" n{i}" for i in range(2400)]
+    frame = spark.createDataFrame([(i, text, int(i < 1200)) for i, text in enumerate(rows)], "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True), per_label=10)
+    scores = model.scores([f"river {insult} garden window evening people" for insult in insults])
+    assert np.mean(scores >= toxicity.THRESHOLD) >= 0.9
+    assert model.scores(["river garden window evening people market"])[0] < toxicity.THRESHOLD
+
+
+def test_toxicity_parts_are_averaged_where_they_met_a_word():
+    start = toxicity.train([])
+    parts = [toxicity._as(start, np.float64) for _ in range(2)]
+    parts[0].embeddings[7] += 1
+    parts[0].bias += 1
+    merged = toxicity.merge(start, [(parts[0], 10), (parts[1], 30)])
+    assert merged.embeddings[7] == pytest.approx(start.embeddings[7] + 1, abs=1e-5)
+    assert merged.bias == pytest.approx(start.bias + 0.25)
+
+
 def test_toxicity_is_a_plain_convolution(monkeypatch):
     """Probabilities against loops over places, filters and taps, also where places are taken in parts."""
     draw = np.random.default_rng(1)
