@@ -33,6 +33,17 @@ def test_positions_with_a_third_of_all_events_in_one_minute(spark):
     assert {row["event_id"]: (row["position"], row["group_rows"]) for row in found} == expected
 
 
+def test_groups_within_the_bound_need_no_pieces(spark):
+    """Small groups are numbered in one shuffle: nothing is joined, and rows without a group are left out as before."""
+    frame = events(spark).unionByName(spark.createDataFrame([(9999, None, 5)], "event_id long, user_id long, micros long")
+                                      .withColumn("ts", F.timestamp_micros("micros")))
+    small = with_position(frame, ["user_id"], minute(), ["ts", "event_id"], 1000)
+    assert "Join" not in small._jdf.queryExecution().optimizedPlan().toString()
+    pieces = with_position(frame, ["user_id"], minute(), ["ts", "event_id"], MOST)
+    columns = ["event_id", "position", "group_rows"]
+    assert sorted(map(tuple, small.select(columns).collect())) == sorted(map(tuple, pieces.select(columns).collect()))
+
+
 def test_no_piece_exceeds_the_bound(spark):
     frame = events(spark)
     assert frame.groupBy("user_id", minute()).count().agg(F.max("count")).first()[0] > 5 * MOST
