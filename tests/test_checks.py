@@ -71,3 +71,18 @@ def test_null_share_and_rule_mismatches(spark):
     frame = spark.createDataFrame([("a", True), ("a", None), ("b", None)], "click_month string, flag boolean")
     assert rows_of(quality.null_share_by_month(frame, "flag"), "click_month", "null_share") == [("a", 0.5), ("b", 1.0)]
     assert tuple(checks.mismatched_rows(frame, F.col("flag"), F.lit(True)).head()) == (2, 3)
+
+
+def test_profile_lists_values_of_combinations_not_of_clicks(spark):
+    """Visits, products and click numbers are counted apart before their values are listed."""
+    rows = [click(visit, number) for visit in range(3) for number in range(1, 41)] + [click(1, 1)]
+    counts = quality.value_counts(to_plain_columns(raw_frame(spark, rows)))
+    found = {(row["column"], row["item"]): row["rows"] for row in counts.collect()}
+    assert found["product_code", "A13"] == found["price_usd", "28"] == 121 and found["visit_id", "1"] == 41
+    assert found["click_number_in_visit", "1"] == 4 and found[quality.REPEATS, None] == 1
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    for place, line in enumerate(plan):
+        if "Expand [" in line:
+            counted = next(below for below in plan[place + 1:] if "Aggregate [" in below)
+            keys = counted.split("Aggregate [")[1].split("]")[0]
+            assert not ("visit_id" in keys and "product_code" in keys)
