@@ -291,6 +291,43 @@ def test_toxicity_parts_are_averaged_where_they_met_a_word():
     assert merged.bias == pytest.approx(start.bias + 0.25)
 
 
+def test_toxicity_parts_are_merged_in_tasks(spark, monkeypatch):
+    """The model is that of the plain merge, and the driver gets as much from 24 parts as from one, but for their small arrays."""
+    draw = random.Random(7)
+    rows = [(" ".join(draw.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=6)), i % 2, i * 7919) for i in range(400)]
+    taught = spark.createDataFrame(rows, "text string, label int, place long")
+    start = toxicity.train([(text, label) for text, label, _ in rows[:40]])
+    monkeypatch.setattr(toxicity, "PART_TEXTS", 17)
+    spread = taught.repartition(24, "place").sortWithinPartitions("place").withColumn("part", F.spark_partition_id()).collect()
+    collected, collect = [], type(taught).collect
+    monkeypatch.setattr(type(taught), "collect", lambda frame: collected.append(collect(frame)) or collected[-1])
+    found = toxicity.learn_everywhere(start, taught, len(rows), 1)
+    monkeypatch.undo()
+    parts = {}
+    for row in spread:
+        parts.setdefault(row["part"], []).append((row["text"], row["label"]))
+    learned = [toxicity.learn_part(start, parts[part]) for part in sorted(parts)]
+    plain = toxicity.merge(start, [(toxicity._as(model, np.float32), count) for model, count in learned])
+    assert len(parts) > 20
+    for name in toxicity.ARRAYS:
+        assert np.allclose(getattr(found, name), getattr(plain, name), atol=1e-6)
+    assert all(np.allclose(own, other, atol=1e-6) for own, other in zip(found.filters, plain.filters))
+    held = sum(len(value) for rows in collected for row in rows for value in row if isinstance(value, (bytes, bytearray)))
+    assert held < 8 * start.embeddings.size + 4096 * len(parts)
+
+
+def test_toxicity_shuffles_wanted_texts_only(spark, monkeypatch):
+    """Of 5,000 documents with 40 wanted ones, a few more than the wanted reach the join; all wanted are found, once each."""
+    whole = spark.range(5000).selectExpr("id", "concat('text ', id % 4000) AS text").select("id", F.xxhash64("text").alias("text_hash"), "text")
+    wanted = whole.filter("id % 125 = 0").select("text_hash", "id", F.lit(1).alias("label"))
+    passed, join = [], type(whole).join
+    monkeypatch.setattr(type(whole), "join", lambda frame, *given: passed.append(frame.count()) or join(frame, *given))
+    found = toxicity.texts_of(whole.union(whole), wanted)
+    monkeypatch.undo()
+    assert 80 <= passed[0] <= 200
+    assert sorted((row["id"], row["text"], row["label"]) for row in found.collect()) == [(i, f"text {i % 4000}", 1) for i in range(0, 5000, 125)]
+
+
 def test_toxicity_is_a_plain_convolution(monkeypatch):
     """Probabilities against loops over places, filters and taps, also where places are taken in parts."""
     draw = np.random.default_rng(1)
