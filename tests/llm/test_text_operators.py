@@ -249,6 +249,18 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(language_crf.posteriors(scores, inside, moves)[0, :4], found[0, :4])
 
 
+def test_language_lets_go_of_the_tokenizer_that_packing_kept(spark, monkeypatch):
+    """A worker that packed keeps a tokenizer with its table of chunks; a task that judges languages there lets them go."""
+    docs = spark.createDataFrame([(1, PROSE)], "doc_id bigint, text string")
+    tasks, original = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda frame, task, kind: tasks.append(task) or original(frame, task, kind))
+    language_crf.identify(docs, language_crf.train([("en", PROSE)], chains=2, rounds=1))
+    packing.library_ids(VOCABULARY)
+    assert packing.library_ids.cache_info().currsize == 1
+    assert sum(batch.num_rows for batch in tasks[0](docs.toArrow().to_batches())) == 1
+    assert packing.library_ids.cache_info().currsize == 0
+
+
 def test_toxicity_learns_from_different_texts(spark):
     """Thousands of copies of one clean text, under ids of their own and under one id, leave room for all others."""
     toxic = [(number, f"you are a gleeb {number} and a fool", 1) for number in range(40)]
