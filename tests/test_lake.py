@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from visitlake import schemas as S
 from visitlake.operators.silver import add_weekend_click
 from visitlake.plans import lake as lakes
+from visitlake.plans.increment import build_increment
 from visitlake.sources import landing, ledger, tables
 from visitlake.sources.raw_clicks import read_raw_clicks
 from visitlake.streaming.new_files import process_available, stream_raw_clicks
@@ -88,6 +89,15 @@ def test_compaction_keeps_rows(spark, two_runs):
     assert len(files(spark, table, "2008-04")) == 1 and files(spark, table, "2008-08") == august
 
 
+def test_landed_files_are_parsed_for_one_write_only(spark, tmp_path):
+    source = source_file(spark, tmp_path, "source", APRIL)
+    landing.land_months(spark, source, f"{tmp_path}/landing", ["2008-04"], FIRST)
+    built = build_increment(read_raw_clicks(spark, f"{tmp_path}/landing", ["2008-04"]), RUN)
+    for frame in (built.source, built.bronze, built.source_months, built.silver.clicks):
+        assert "FileScan csv" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert built.bronze_rows == built.bronze.count() == len(APRIL)
+
+
 def test_nothing_to_do(spark, lake):
     assert run(spark, lake, []) == {"status: nothing new landed": 0, "source_rows": 0}
     no_columns = spark.createDataFrame([], "x string").select()

@@ -59,6 +59,17 @@ def test_pieces_do_not_change_times(spark, bits):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, pieces)) and len(whole) == len(rows)
 
 
+@pytest.mark.parametrize("bits", [1, 3])
+def test_visits_of_one_piece_need_no_join(spark, bits):
+    rows = [click(visit, number, day=visit) for visit in (1, 2, 5) for number in range(visit, 30, visit)]
+    rows += [click(2, 2, day=1), click(3, 0), click(3, 9), click(4, 1, month=13)]
+    source = plain(spark, rows)
+    one, pieces = click_times(source), click_times(source, bits=bits)
+    plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (one, pieces)]
+    assert "Join" not in plans[0] and "Join" in plans[1]
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, pieces.collect())) and one.count() == len(rows) - 2
+
+
 def test_rows_without_visit_or_date_get_no_values(spark):
     rows = [click(None, 1), click(2, 1, month=13), click(3, 1)]
     found = {row["visit_id"]: row for row in add_synthetic_fields(plain(spark, rows)).collect()}
