@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from visitlake.llm import bpe, language_crf, packing, quality_rules, toxicity
+from visitlake.llm import batches, bpe, language_crf, packing, quality_rules, toxicity
 from visitlake.llm.queries import VOCABULARY
 
 DOCS = "doc_id bigint, text string, lang string, ids string, quality int"
@@ -372,3 +372,36 @@ def test_a_line_ends_at_its_end_and_not_before_other_separators(spark):
     frame = spark.createDataFrame([(number, line) for number, line in enumerate(lines)], "n int, line string")
     found = [row[0] for row in frame.orderBy("n").select(quality_rules.line_failure(F.col("line"))).collect()]
     assert found == [None, None, "unfinished", "unfinished", "unfinished"]
+
+
+def test_languages_are_counted_without_python_on_the_executors(spark, monkeypatch):
+    def refused(self):
+        raise AssertionError("rows go through a Python worker")
+
+    rows = [(i, f"{'river boat water' if i % 2 else 'fluss boot wasser'} n{i}", "en" if i % 2 else "de", "a", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr("pyspark.RDD._to_java_object_rdd", refused)
+    model = language_crf.fit(docs, F.lit(True), per_language=10)
+    assert model.languages == ["de", "en"]
+
+
+def test_a_task_gives_its_memory_back():
+    def resident():
+        with open("/proc/self/smaps_rollup") as file:
+            return sum(int(size) for size in re.findall(r"\nPss_Anon:\s+(\d+)", file.read())) / 1024
+
+    pinned = []
+
+    def run(given):
+        held = [np.ones(8_000) for _ in range(2_000)]
+        pinned.append(held[-1])
+        yield from given
+
+    let_go_of = batches.kept_by_worker(lambda name: object())
+    kept, before = let_go_of("table"), resident()
+    assert list(run([1])) == [1] and resident() > before + 60  # what lies below the pinned piece stays
+    assert list(batches.frugal(run)([1, 2])) == [1, 2] and resident() < before + 30
+    assert let_go_of("table") is not kept
+    kept = let_go_of("table")
+    assert list(batches.frugal(run, keeps=True)([])) == [] and let_go_of("table") is kept
+    batches.let_go()

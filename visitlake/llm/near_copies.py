@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.batches import slices
+from visitlake.llm.batches import frugal, slices
 from visitlake.llm.columns import let
 from visitlake.llm.components import components
 from visitlake.llm.covering_simhash import links, runs, search, simhash, words_of
@@ -163,7 +163,7 @@ def _texts(named: DataFrame, prints: int, words: int) -> DataFrame:
                 names=["key", "node", "prints", "runs"])
 
     kind = named.schema["key"].dataType.simpleString()
-    return named.mapInArrow(run, f"key {kind}, node long, prints array<long>, runs long")
+    return named.mapInArrow(frugal(run), f"key {kind}, node long, prints array<long>, runs long")
 
 
 # Chosen texts
@@ -206,7 +206,7 @@ def _sets(hashed: DataFrame, classes: DataFrame, words: int) -> DataFrame:
                 nodes, sets, held = [], [], 0
         yield _set_batch(nodes, sets)
 
-    found = hashed.mapInArrow(run, "node long, shingles array<long>")
+    found = hashed.mapInArrow(frugal(run), "node long, shingles array<long>")
     return staged(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
@@ -261,7 +261,7 @@ def _similar(clusters: DataFrame, sets: DataFrame, similarity: float, tile: int)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return (tiles.repartition("root", "tile").sortWithinPartitions("root", "tile")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(frugal(run), "a long, b long").distinct())
 
 
 # Prefixes
@@ -278,10 +278,10 @@ def _prefixes(hashed: DataFrame, classes: DataFrame, words: int, similarity: flo
         buckets *= 2
     chosen = spark.sparkContext.broadcast(_filter_of(classes))
     common = spark.sparkContext.broadcast(_widespread(hashed, classes, total, words))
-    dealt = hashed.mapInArrow(lambda batches: _dealt(batches, chosen, common, words, similarity, buckets), DEALT)
-    shared = (dealt.repartition(max(buckets, 1), "bucket").sortWithinPartitions("bucket").mapInArrow(_shared_runs, DEALT))
+    dealt = hashed.mapInArrow(frugal(lambda batches: _dealt(batches, chosen, common, words, similarity, buckets)), DEALT)
+    shared = (dealt.repartition(max(buckets, 1), "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_shared_runs), DEALT))
     found = (shared.repartition("flush").sortWithinPartitions("flush", "head")
-             .mapInArrow(lambda batches: _cut(batches, similarity), "node long, length long, place long, shingle long"))
+             .mapInArrow(frugal(lambda batches: _cut(batches, similarity)), "node long, length long, place long, shingle long"))
     return found.dropDuplicates(["node", "shingle"])
 
 
@@ -456,7 +456,7 @@ def _prefix_pairs(members: DataFrame, roots: DataFrame, similarity: float, tile:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*chosen)], names=["a", "b"])
 
     return (tiles.repartition("shingle", "tile").sortWithinPartitions("shingle", "tile")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(frugal(run), "a long, b long").distinct())
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
