@@ -1,6 +1,7 @@
 """Near-duplicates, nearest neighbours, URLs, reply trees, sharding and the pipeline against plain versions."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -263,6 +264,24 @@ def test_shards_are_even_and_shuffled(spark, tmp_path, amount):
         assert abs(np.corrcoef(order, range(len(order)))[0, 1]) < 0.15
 
 
+def joins_of(frame):
+    """Kind and first key of each join as planned before anything ran, when Spark knows the sizes of files only."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"(\w+Join) \[(?:\w+\()?(\w+)#", plan)
+
+
+def test_listed_tables_are_never_broadcast(spark):
+    nodes = spark.createDataFrame([(1, [5]), (2, [7]), (3, [1 << 40])], "node long, prints array<long>")
+    found = covering_simhash.links(covering_simhash.staged(nodes, "nodes"), 4)
+    assert joins_of(found) == [("SortMergeJoin", "bucket")]
+    assert roots([tuple(row) for row in found.collect()], [1, 2, 3]) == {1: 1, 2: 1, 3: 1}
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, None)], "doc_id long, text string")
+    found = covering_simhash.near_duplicates(docs)
+    assert all(kind == "SortMergeJoin" for kind, key in joins_of(found) if key == "root")
+    assert joins_of(found)[0] == ("SortMergeJoin", "fingerprint")
+    assert {row["doc_id"]: row["component_id"] for row in found.collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_pipeline_on_a_small_table(spark, tmp_path):
     import corpus_pipeline
     draw = random.Random(6)
