@@ -282,6 +282,27 @@ def test_listed_tables_are_never_broadcast(spark):
     assert {row["doc_id"]: row["component_id"] for row in found.collect()} == {1: 1, 2: 1, 3: 3}
 
 
+def test_joins_of_near_copies_shuffle_what_grows(spark, monkeypatch):
+    planned = {}
+
+    def staged(frame, name):
+        planned.setdefault(name, []).append(joins_of(frame))
+        return kept(frame, name)
+
+    kept = near_copies.staged
+    monkeypatch.setattr(near_copies, "staged", staged)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(words + [f"v{i}" for i in range(12)])), (4, "other"), (4, "other")]
+    found = near_copies.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    last = joins_of(found)
+    assert sorted(row["doc_id"] for row in found.collect()) == [1, 4]
+    # Of clusters their tiles, of pairs the pairs, of kept keys the keys: none of them goes through the driver.
+    assert ("SortMergeJoin", "node") in planned["similar"][0]
+    assert all(("SortMergeJoin", "a") in joins for joins in planned["similar"][1:])
+    assert planned["stopped"] == [[("SortMergeJoin", "key")]]
+    assert last == [("SortMergeJoin", "key")]
+
+
 def test_pipeline_on_a_small_table(spark, tmp_path):
     import corpus_pipeline
     draw = random.Random(6)

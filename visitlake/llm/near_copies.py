@@ -28,7 +28,7 @@ from visitlake.llm.batches import frugal, slices
 from visitlake.llm.columns import let
 from visitlake.llm.components import components
 from visitlake.llm.covering_simhash import links, runs, search, simhash, words_of
-from visitlake.session import staged
+from visitlake.session import shuffled, staged
 
 TILE, TILE_RUNS = 1024, 1024
 # A flush is bounded in runs and in texts, whose places in it take two bytes.
@@ -101,7 +101,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 4, prints: int = 1, word
     texts = staged(_texts(named.select("key", "text"), prints, words), "texts")
     classes = staged(texts.groupBy("node").agg(F.min("key").alias("key"), F.first("prints").alias("prints"), F.max("runs").alias("runs")),
                      "classes")
-    chosen = lambda nodes: classes.join(nodes.select("node"), "node", "left_semi")
+    chosen = lambda nodes: classes.join(shuffled(nodes.select("node")), "node", "left_semi")
     clusters = staged(components(links(classes.select("node", "prints"), radius)), "clusters")
     clusters = clusters.join(classes.select("node", "runs"), "node")
     edges = staged(_similar(clusters, _sets(hashed, chosen(clusters), words), similarity, tile), "similar")
@@ -129,7 +129,7 @@ def _first_rows(rows: DataFrame, keys: DataFrame, kept: DataFrame) -> DataFrame:
     """One row of each kept key. Rows that a filter of dropped and of repeated keys does not stop stay as they are; those that
     it stops, few unless the filter is full, are shuffled to a join with the kept keys."""
     counted = keys.groupBy("key").agg(F.count("*").alias("rows"))
-    stopped = staged(counted.join(kept.withColumn("kept", F.lit(True)), "key", "left")
+    stopped = staged(shuffled(counted).join(kept.withColumn("kept", F.lit(True)), "key", "left")
                      .filter("kept IS NULL OR rows > 1").select(F.xxhash64("key").alias("hash")), "stopped")
     bits = 1 << 10
     while bits < min(16 * stopped.count(), STOPPED_BITS):
@@ -142,7 +142,7 @@ def _first_rows(rows: DataFrame, keys: DataFrame, kept: DataFrame) -> DataFrame:
              .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("rows")).select(F.transform("rows", lambda one: one["word"]))).scalar()
     hashed = F.xxhash64("key")
     stops = words[F.shiftright(place(hashed), 6).cast("int")].bitwiseAND(bit(hashed)) != 0
-    checked = rows.filter(stops).join(kept, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    checked = shuffled(rows.filter(stops)).join(kept, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
     return rows.filter(~stops).select("row").unionByName(checked.select("row"))
 
 
@@ -232,8 +232,8 @@ def _similar(clusters: DataFrame, sets: DataFrame, similarity: float, tile: int)
     A slice has about ``tile`` texts, or fewer where they have more than ``TILE_RUNS`` runs each.
     """
     sizes = clusters.groupBy("root").agg(F.greatest(F.count("*"), F.ceil(F.sum("runs") / TILE_RUNS)).alias("size"))
-    tiles = (clusters.join(sizes, "root").select("node", "root", F.explode(_tiles(F.col("size"), tile)[1]).alias("tile"))
-             .join(sets, "node").select("root", "tile", "node", "shingles"))
+    tiles = clusters.join(sizes, "root").select("node", "root", F.explode(_tiles(F.col("size"), tile)[1]).alias("tile"))
+    tiles = shuffled(tiles).join(sets, "node").select("root", "tile", "node", "shingles")
 
     def run(batches):
         for nodes, shingles in runs(batches):
@@ -461,7 +461,7 @@ def _prefix_pairs(members: DataFrame, roots: DataFrame, similarity: float, tile:
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose sets of runs are similar enough."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("first")), "a")
+    both = (shuffled(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("first")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("second")), "b"))
     enough = let(F.size(F.array_intersect("first", "second")),
                  lambda common: common >= similarity * (F.size("first") + F.size("second") - common))
